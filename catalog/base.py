@@ -216,3 +216,16 @@ def on_clean(sql: str) -> str:
 def on_silver(sql: str, ctes: str = "") -> str:
     """A query over the silver rows; a FROM list naming only cleaned columns costs no z-scores."""
     return f"WITH {SILVER_CTES}{(',' + chr(10) + ctes) if ctes else ''}\n{sql}"
+
+
+def selection(where: str = "TRUE", n_hours: int | None = None) -> str:
+    """WITH items ``base`` (plain filters) and ``sel`` (the time range anchored to the newest of them)."""
+    newest = "" if n_hours is None else (
+        f""" WHERE "timestamp" >= (SELECT max("timestamp") FROM base) - INTERVAL {n_hours} HOUR""")
+    return f"base AS (SELECT * FROM silver WHERE {where}),\nsel AS (SELECT * FROM base{newest})"
+
+
+#: WITH items splitting ``sel`` into its oldest 80 percent and the rest
+SPLIT_CTES = f"""ranked AS (SELECT *, row_number() OVER (ORDER BY "timestamp", {hash32('event_id')} // 4096, event_id) - 1
+    AS pos, count(*) OVER () AS n FROM sel),
+split AS (SELECT *, pos >= floor(n * 8e-1) AS recent FROM ranked)"""

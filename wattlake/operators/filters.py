@@ -71,10 +71,10 @@ def newest_within(df: DataFrame, n_hours: int) -> DataFrame:
     columns with it lets the Parquet reader skip row groups and, on a day-partitioned
     table, skip whole days once the subquery has run.
     """
-    recent = df.filter(F.col("timestamp") >= df.agg(F.max("timestamp") - hours(n_hours)).scalar())
+    cutoff = df.agg(F.max("timestamp") - hours(n_hours)).scalar()
+    recent = df.filter(F.col("timestamp") >= cutoff)
     if "event_date" in df.columns:
-        first_day = df.agg(F.to_date(F.max("timestamp") - hours(n_hours))).scalar()
-        recent = recent.filter(F.col("event_date") >= first_day)
+        recent = recent.filter(F.col("event_date") >= cutoff.cast("date"))
     return recent
 
 

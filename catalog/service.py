@@ -20,8 +20,8 @@ def _key(df):
 
 # --- filters --------------------------------------------------------------------------------
 register("q01_equality_filters", on_silver(
-    f"SELECT {KEY} FROM silver WHERE region = 'EUROPE' AND substation_id = 'SUB-007' AND status = 'Warning'"))(
-    lambda df: _key(filters.apply_equality(df, FilterSpec("EUROPE", "SUB-007", "All", "Warning"))))
+    f"SELECT {KEY} FROM silver WHERE region = 'EUROPE' AND substation_id = 'SUB-023' AND status = 'Warning'"))(
+    lambda df: _key(filters.apply_equality(df, FilterSpec("EUROPE", "SUB-023", "All", "Warning"))))
 register("q01_no_filter", on_silver(f"SELECT {KEY} FROM silver"))(
     lambda df: _key(filters.apply_service_filters(df, FilterSpec("All", "", None))))
 register("q02_anomaly_types", on_silver(

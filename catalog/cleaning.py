@@ -21,14 +21,16 @@ def _(spark, sf_dir):
     return raw_source.parse_timestamp(raw_source.read_raw(spark, path))
 
 
-_REPORT = [(c, "present") for c in TELEMETRY_COLUMNS if c not in ("latitude", "anomaly_type")]
-_REPORT += [("latitude", "missing"), ("anomaly_type", "missing"), ("feeder", "extra")]
+_GONE = ("latitude", "anomaly_type")
 
 
 @register(
     "s02_validate_schema",
-    f"WITH seen AS (SELECT count(*) AS n FROM lineitem) SELECT column_name, state FROM (VALUES "
-    + ", ".join(f"('{c}', '{s}')" for c, s in _REPORT) + ") t(column_name, state), seen WHERE n > 0",
+    on_raw(" UNION ALL ".join(
+        [f"""SELECT '{c}' AS column_name, 'present' AS state, count("{c}") AS filled FROM raw"""
+         for c in TELEMETRY_COLUMNS if c not in _GONE]
+        + [f"SELECT '{c}', 'missing', CAST(NULL AS BIGINT)" for c in _GONE]
+        + ["SELECT 'feeder', 'extra', count(*) FROM raw"])),
     source="raw",
 )
 def _(df):
@@ -91,6 +93,12 @@ def _(df):
     return cleaning.dedup(df)
 
 
+@register("w01_dedup_ranking", on_distinct("""SELECT event_id, "timestamp", transformer_id, power_mw
+    FROM distinct_rows"""), source="raw")
+def _(df):
+    return cleaning.dedup(df.select("event_id", "timestamp", "transformer_id", "power_mw"))
+
+
 @register(
     "p01_dedup_report",
     on_raw("""SELECT count(*) AS records_before, count(DISTINCT event_id) AS records_kept,

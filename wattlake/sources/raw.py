@@ -20,11 +20,18 @@ def write_raw(df: DataFrame, path: str) -> None:
 
 
 def validate_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """(column_name, state) with state present, missing or extra; a missing column fails the check."""
+    """(column_name, state, filled): present, missing or extra, and how many rows have a value.
+
+    A missing column fails the check; extra columns are ignored by the readers.
+    """
     expected, actual = schema.fieldNames(), df.columns
-    rows = [(c, "present" if c in actual else "missing") for c in expected]
-    rows += [(c, "extra") for c in actual if c not in expected]
-    return df.sparkSession.createDataFrame(rows, "column_name string, state string")
+    states = {c: "present" if c in actual else "missing" for c in expected}
+    states.update({c: "extra" for c in actual if c not in expected})
+    filled = df.agg(*[(F.count(c) if c in actual else F.lit(None).cast("bigint")).alias(c) for c in states])
+    label = F.lit(None).cast("string")
+    for name, state in states.items():
+        label = F.when(F.col("column_name") == name, state).otherwise(label)
+    return filled.unpivot([], list(states), "column_name", "filled").select("column_name", label.alias("state"), "filled")
 
 
 def to_timestamp_lenient(text: Column) -> Column:

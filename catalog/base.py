@@ -8,12 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from wattlake.functions.rounding import round_columns
 from wattlake.plans.batch import build_silver, read_silver
+from wattlake.schema import TELEMETRY_SCHEMA
 from wattlake.session import tune, work_path
 from wattlake.sources import derived
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
-_SILVER: dict[tuple[str, str], str] = {}
+_WRITTEN: set[tuple[str, str]] = set()
+_READERS: dict[tuple[int, str], tuple[SparkSession, DataFrame]] = {}
 
 
 def work(spark: SparkSession, sf_dir: str, name: str) -> str:
@@ -26,14 +28,27 @@ def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The silver table of a data folder, written once per application and read by every query."""
+    """The silver table of a data folder, written once per application and read by every query.
+
+    The reader is kept per session, so its files are listed once.
+    """
     tune(spark)
+    reader = _READERS.get((id(spark), sf_dir))
+    if reader is not None and reader[0] is spark:
+        return reader[1]
+    path = work(spark, sf_dir, "silver")
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _SILVER:
-        path = work(spark, sf_dir, "silver")
+    if key not in _WRITTEN:
         build_silver(spark, raw(spark, sf_dir), work(spark, sf_dir, "stage"), path)
-        _SILVER[key] = path
-    return read_silver(spark, _SILVER[key])
+        _WRITTEN.add(key)
+    _READERS[(id(spark), sf_dir)] = (spark, read_silver(spark, path))
+    return _READERS[(id(spark), sf_dir)][1]
+
+
+def stage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The deduplicated rows, written on the way to silver."""
+    silver(spark, sf_dir)
+    return spark.read.schema(TELEMETRY_SCHEMA).parquet(work(spark, sf_dir, "stage"))
 
 
 def register(name: str, sql: str | None = None, source: str = "silver", digits: int | None = None):

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.base import FEATURE_SQL, on_clean, on_distinct, on_raw, on_silver, raw, register, rs, silver, IMPUTED_CTES
-from catalog.base import work
+from catalog.base import FEATURE_SQL, on_clean, on_distinct, on_raw, on_silver, raw, register, rs, silver
+from catalog.base import IMPUTED_CTES, stage, work
 from wattlake.operators import cleaning
+from wattlake.operators.quantiles import exact_quantiles
 from wattlake.plans import batch
 from wattlake.schema import IMPUTED_COLUMNS, TELEMETRY_COLUMNS, TELEMETRY_SCHEMA
 from wattlake.sources import layers, raw as raw_source
@@ -83,9 +84,8 @@ def _(spark, sf_dir):
     source="none",
 )
 def _(spark, sf_dir):
-    fine = silver(spark, sf_dir)
-    stage = spark.read.parquet(work(spark, sf_dir, "stage"))
-    return layers.verify_counts({"raw": raw(spark, sf_dir), "stage": stage, "silver": fine})
+    return layers.verify_counts(
+        {"raw": raw(spark, sf_dir), "stage": stage(spark, sf_dir), "silver": silver(spark, sf_dir)})
 
 
 @register("p01_dedup", on_distinct(f"SELECT {_T} FROM distinct_rows"), source="raw")
@@ -111,19 +111,16 @@ def _(df):
 
 @register("p02_impute_median", f"WITH {IMPUTED_CTES}\nSELECT {_T} FROM imputed", source="none")
 def _(spark, sf_dir):
-    silver(spark, sf_dir)
-    return cleaning.impute_median(spark.read.parquet(work(spark, sf_dir, "stage"))).select(*TELEMETRY_COLUMNS)
+    return cleaning.impute_median(stage(spark, sf_dir))
 
 
 @register(
     "p02_exact_medians",
     on_distinct("SELECT " + ", ".join(f"median({c}) AS {c}" for c in IMPUTED_COLUMNS) + " FROM distinct_rows"),
-    source="raw",
+    source="none",
 )
-def _(df):
-    from wattlake.operators.quantiles import exact_quantiles
-
-    return exact_quantiles(cleaning.dedup(df), IMPUTED_COLUMNS)
+def _(spark, sf_dir):
+    return exact_quantiles(stage(spark, sf_dir), IMPUTED_COLUMNS)
 
 
 @register(

@@ -135,9 +135,7 @@ def _walk(names, weights, total):
         {', '.join(f'{e} AS w{i}' for i, e in enumerate(_WEIGHTS.values()))} FROM cleaned)"""),
 )
 def _(df):
-    args = (*_M, "power_factor", "communication_latency_ms", "energy_generated_mwh", "energy_consumed_mwh",
-            "fault_indicator", "event_id")
-    return df.select("event_id", labels.anomaly_type_weighted(*_c(*args)).alias("weighted_type"))
+    return labels.with_weighted_type(df, "weighted_type").select("event_id", "weighted_type")
 
 
 STREAM_RISK = rh("least(anomaly_score * 40 + greatest(load_percent - 70, 0) * 3e-1 "

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattlake.functions.picks import hash32, pick
@@ -49,61 +49,49 @@ def anomaly_type_rules(
     )
 
 
-def anomaly_type_weighted(
-    load: Column, temperature: Column, voltage: Column, frequency: Column, pf: Column, latency: Column,
-    generated: Column, consumed: Column, fault: Column, key: Column,
-) -> Column:
-    """Weighted choice among the conditions the reading shows.
+def with_weighted_type(df: DataFrame, alias: str = "anomaly_type") -> DataFrame:
+    """Add a weighted choice among the conditions a reading shows.
 
-    The candidates form a small array of (type, weight); the pick walks their running
-    weight until it passes ``hash mod total``.
+    Weights and their running sums are plain columns added step by step, so each is
+    computed once and inside codegen; the hash of the event id, modulo the total weight,
+    falls into exactly one candidate's share.
     """
-    dv, df = voltage_offset(voltage), frequency_offset(frequency)
-    faulty = fault == 1
-    hot_load, hot_temp = load > 82, temperature > 68
+    c = F.col
+    dv, dev = voltage_offset(c("voltage_kv")), frequency_offset(c("frequency_hz"))
+    faulty, hot = c("fault_indicator") == 1, (c("load_percent") > 82) | (c("temperature_c") > 68)
+    generated, consumed = c("energy_generated_mwh"), c("energy_consumed_mwh")
+    surplus = (consumed > 0) & (generated > 0) & (consumed / F.greatest(generated, F.lit(1.0)) > 1.25)
     severe = sum(
-        (c.cast("int") for c in [load > 90, temperature > 75, dv > 4, df > 0.3]), faulty.cast("int")
-    )
-    ratio = consumed / F.greatest(generated, F.lit(1.0))
-
-    def candidate(name: str, weight: Column) -> Column:
-        return F.struct(F.lit(name).alias("t"), F.coalesce(weight, F.lit(0)).alias("w"))
-
-    candidates = F.filter(
-        F.array(
-            candidate("Transformer Fault", F.when(faulty & (hot_load | hot_temp), 30).when(faulty, 10)),
-            candidate("Overload", F.when(hot_load, 25)),
-            candidate("Temperature Spike", F.when(hot_temp, 20)),
-            candidate("Voltage Fluctuation", F.when(dv > 3.5, 22)),
-            candidate("Frequency Deviation", F.when(df > 0.25, 18)),
-            candidate("Power Factor Anomaly", F.when(pf < 0.78, 15)),
-            candidate("Communication Failure", F.when(latency > 45, 20)),
-            candidate(
-                "Unexpected Consumption", F.when((consumed > 0) & (generated > 0) & (ratio > 1.25), 15)
-            ),
-            candidate("Generation Drop", F.when((generated > 0) & (generated < 80), 12)),
-            candidate("Compound Anomaly", F.when(severe >= 2, 25)),
-        ),
-        lambda c: c["w"] > 0,
-    )
-    fallback = F.array(
-        *[F.struct(F.lit(t).alias("t"), F.lit(w).alias("w")) for t, w in zip(ANOMALY_TYPES, FALLBACK_WEIGHTS)]
-    )
-    options = F.when(F.size(candidates) > 0, candidates).otherwise(fallback)
-    total = F.aggregate(options, F.lit(0), lambda acc, c: acc + c["w"])
-    target = (hash32(key) % total).cast("int")
-    start = F.struct(F.lit(0).alias("seen"), F.lit(None).cast("string").alias("chosen"))
-    walked = F.aggregate(
-        options,
-        start,
-        lambda acc, c: F.struct(
-            (acc["seen"] + c["w"]).alias("seen"),
-            F.when(acc["chosen"].isNull() & (acc["seen"] + c["w"] > target), c["t"])
-            .otherwise(acc["chosen"])
-            .alias("chosen"),
-        ),
+        (F.when(x, 1).otherwise(0) for x in (c("load_percent") > 90, c("temperature_c") > 75, dv > 4, dev > 0.3)),
+        F.when(faulty, 1).otherwise(0),
     )
-    return F.when(severe >= 3, "Compound Anomaly").otherwise(walked["chosen"])
+    candidates = {
+        "Transformer Fault": F.when(faulty & hot, 30).when(faulty, 10),
+        "Overload": F.when(c("load_percent") > 82, 25),
+        "Temperature Spike": F.when(c("temperature_c") > 68, 20),
+        "Voltage Fluctuation": F.when(dv > 3.5, 22),
+        "Frequency Deviation": F.when(dev > 0.25, 18),
+        "Power Factor Anomaly": F.when(c("power_factor") < 0.78, 15),
+        "Communication Failure": F.when(c("communication_latency_ms") > 45, 20),
+        "Unexpected Consumption": F.when(surplus, 15),
+        "Generation Drop": F.when((generated > 0) & (generated < 80), 12),
+        "Compound Anomaly": F.when(c("_severe") >= 2, 25),
+    }
+    weights = {f"_w{i}": F.coalesce(w, F.lit(0)) for i, w in enumerate(candidates.values())}
+    weighed = df.withColumns({"_severe": severe, "_hash": hash32(c("event_id"))}).withColumns(weights)
+    last = "0"
+    for i in range(len(candidates)):
+        weighed = weighed.withColumn(f"_s{i}", c(f"_w{i}") + (c(last) if i else 0))
+        last = f"_s{i}"
+    weighed = weighed.withColumn("_at", c("_hash") % F.when(c(last) > 0, c(last)).otherwise(sum(FALLBACK_WEIGHTS)))
+    chosen = fallback = F.lit(None).cast("string")
+    for i, name in reversed(list(enumerate(candidates))):
+        chosen = F.when(c("_at") < c(f"_s{i}"), name).otherwise(chosen)
+    for i, name in reversed(list(enumerate(ANOMALY_TYPES))):
+        fallback = F.when(c("_at") < sum(FALLBACK_WEIGHTS[: i + 1]), name).otherwise(fallback)
+    kind = F.when(c("_severe") >= 3, "Compound Anomaly").when(c(last) > 0, chosen).otherwise(fallback)
+    helpers = [n for n in weighed.columns if n not in df.columns]
+    return weighed.withColumn("_kind", kind).drop(*helpers).withColumnRenamed("_kind", alias)
 
 
 def stream_status(risk: Column, anomaly: Column, fault: Column) -> Column:

@@ -19,12 +19,9 @@ LEVELS = 2
 
 def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     """(name, value, n) over all non-null values of the columns."""
-    pairs = F.explode(
-        F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("value")) for c in columns])
-    )
+    wide = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
     return (
-        df.select(pairs.alias("p"))
-        .select("p.name", "p.value")
+        wide.unpivot([], columns, "name", "value")
         .filter(F.col("value").isNotNull() & ~F.isnan("value"))
         .groupBy("name", "value")
         .agg(F.count(F.lit(1)).alias("n"))

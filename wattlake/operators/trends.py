@@ -22,11 +22,15 @@ def _narrow(rows: DataFrame, key: Column, name: str) -> DataFrame:
     """
     state = [c for c in rows.columns if c.startswith("_")]
     counted = rows.groupBy(*state, key.alias(name)).agg(F.count(F.lit(1)).alias("n"))
+    return _holding_rank(counted, [c for c in state if c != "_before"], name)
+
+
+def _holding_rank(counted: DataFrame, state: list[str], name: str) -> DataFrame:
     upto = F.col("_before") + F.sum("n").over(Window.orderBy(name))
     return (
         counted.withColumn("upto", upto)
         .filter((F.col("upto") > F.col("_target")) & (F.col("upto") - F.col("n") <= F.col("_target")))
-        .select(*[c for c in state if c != "_before"], name, (F.col("upto") - F.col("n")).alias("_before"))
+        .select(*state, name, (F.col("upto") - F.col("n")).alias("_before"))
     )
 
 
@@ -41,10 +45,12 @@ def split_boundary(df: DataFrame, share: float = 0.8) -> DataFrame:
     """
     ts = F.col("timestamp")
     keyed = df.select("timestamp", "event_id")
-    start = keyed.agg(
-        F.floor(F.count(F.lit(1)) * F.lit(float(share))).alias("_target"), F.lit(0).cast("bigint").alias("_before")
+    per_hour = keyed.groupBy(floor_hour(ts).alias("_hour")).agg(F.count(F.lit(1)).alias("n"))
+    everything = F.sum("n").over(Window.partitionBy())
+    per_hour = per_hour.select(
+        "_hour", "n", F.floor(everything * F.lit(float(share))).alias("_target"), F.lit(0).alias("_before")
     )
-    hour = _narrow(keyed.crossJoin(F.broadcast(start)), floor_hour(ts), "_hour")
+    hour = _holding_rank(per_hour, ["_target"], "_hour")
     in_hour = keyed.crossJoin(F.broadcast(hour)).filter((ts >= F.col("_hour")) & (ts < F.col("_hour") + hours(1)))
     stamp = _narrow(in_hour, ts, "_stamp")
     part = _narrow(keyed.join(F.broadcast(stamp), ts == F.col("_stamp")), _slice(), "_part")

@@ -6,12 +6,11 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wattlake.operators import cleaning
 from wattlake.operators.quantiles import exact_quantiles
-from wattlake.schema import IMPUTED_COLUMNS
-
-PARTITION_COLUMN = "event_date"
+from wattlake.schema import IMPUTED_COLUMNS, PARTITION_COLUMN, SILVER_SCHEMA, TELEMETRY_SCHEMA
 
 
 def add_ingestion_metadata(df: DataFrame, batch: str = "batch_001", at: datetime | None = None) -> DataFrame:
@@ -46,7 +45,7 @@ def build_silver(
     shuffling the raw rows three times.  The stage also survives the loss of executors.
     """
     write_layer(cleaning.dedup(bronze), stage_path)
-    stage = spark.read.parquet(stage_path)
+    stage = spark.read.schema(TELEMETRY_SCHEMA).parquet(stage_path)
     cleaned = cleaning.clean(stage, exact_quantiles(stage, IMPUTED_COLUMNS), profile)
     final = cleaning.project_final(cleaning.silver_metadata(cleaning.add_zscores(cleaned)))
     write_layer(final.withColumn(PARTITION_COLUMN, F.to_date("timestamp")), silver_path, PARTITION_COLUMN)
@@ -54,4 +53,5 @@ def build_silver(
 
 
 def read_silver(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    """Reader with the declared schema, which spares the inference job."""
+    return spark.read.schema(T.StructType(SILVER_SCHEMA.fields).add(PARTITION_COLUMN, "date")).parquet(path)

@@ -76,9 +76,17 @@ STREAM_SCHEMA = _struct(
 TELEMETRY_COLUMNS = TELEMETRY_SCHEMA.fieldNames()
 STREAM_COLUMNS = STREAM_SCHEMA.fieldNames()
 
-SILVER_COLUMNS = TELEMETRY_COLUMNS + [
-    "voltage_deviation_kv", "frequency_deviation_hz", "power_quality_score", "voltage_stability_score",
-    "calculated_power_mw", "transmission_efficiency",
-    "load_percent_zscore", "temperature_c_zscore", "power_mw_zscore",
-    "anomaly_flag", "transformation_time", "silver_version",
-]
+#: the silver table; ``event_date`` is its partition column
+SILVER_SCHEMA = T.StructType(
+    TELEMETRY_SCHEMA.fields
+    + _struct(
+        [(n, _D) for n in (
+            "voltage_deviation_kv", "frequency_deviation_hz", "power_quality_score", "voltage_stability_score",
+            "calculated_power_mw", "transmission_efficiency", "load_percent_zscore", "temperature_c_zscore",
+            "power_mw_zscore",
+        )]
+        + [("anomaly_flag", _I), ("transformation_time", T.TimestampType()), ("silver_version", _S)]
+    ).fields
+)
+SILVER_COLUMNS = SILVER_SCHEMA.fieldNames()
+PARTITION_COLUMN = "event_date"

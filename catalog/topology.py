@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from catalog.base import on_silver, register, rh, rs, selection, silver
+from catalog.base import hash32, on_silver, register, rh, rs, selection, silver
 from catalog.dashboard import HOUR, four
 from catalog.gold import FAULTS
-from wattlake.operators import filters, forecast, sampling, service, topology
-from wattlake.sources import derived, dimensions, layers
+from wattlake.operators import filters, forecast, sampling, service, topology, trends
+from wattlake.sources import derived, dimensions
 
 DIM_CTES = ("dim(substation_id, lat, lon, dregion, name) AS (VALUES "
             + ", ".join(f"('{i}', {a}e0, {b}e0, '{r}', '{n}')" for i, a, b, r, n in dimensions.SUBSTATIONS)
@@ -94,8 +94,8 @@ register("u03_set_difference", on_silver("""SELECT transformer_id FROM silver EX
         df.select("transformer_id"),
         filters.newest_within(df, 24).filter("risk_score >= 85").select("transformer_id")))
 register("s11_newest_rows", on_silver("""SELECT event_id, "timestamp", risk_score FROM silver
-    ORDER BY "timestamp" DESC, event_id LIMIT 40000"""))(
-    lambda df: layers.newest(df, 40000).select("event_id", "timestamp", "risk_score"))
+    ORDER BY "timestamp" DESC, """ + hash32("event_id") + """ // 4096 DESC, event_id DESC LIMIT 40000"""))(
+    lambda df: trends.newest(df, 40000).select("event_id", "timestamp", "risk_score"))
 
 # --- samples and projections ------------------------------------------------------------------
 _HASH = "md5(event_id || '#42'), event_id"

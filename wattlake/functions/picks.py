@@ -22,5 +22,10 @@ def pick(key: Column, choices: list[str]) -> Column:
 
 
 def sample_order(key: Column, seed: int) -> Column:
-    """Sort key of a repeatable shuffle."""
+    """Sort key of a repeatable shuffle: a hexadecimal hash."""
     return F.md5(F.concat(key, F.lit(f"#{seed}")))
+
+
+def hash_slice(hexadecimal: Column) -> Column:
+    """The first 20 bits of a hexadecimal hash; slices sort like the hash itself."""
+    return F.conv(F.substring(hexadecimal, 1, 5), 16, 10).cast("int")

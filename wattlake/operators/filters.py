@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from wattlake.functions.times import hours
 from wattlake.schema import NORMAL
+from wattlake.sources.dimensions import constant_frame
 
 # --- fixed values -----------------------------------------------------------------------
 SERVICE_RANGES = {"6h": 6, "12h": 12, "24h": 24, "48h": 48, "72h": 72, "7d": 168, "30d": 720, "90d": 2160}
@@ -123,8 +124,8 @@ def filter_options(df: DataFrame, spec: FilterSpec) -> DataFrame:
         ).distinct()
         out = values if out is None else out.unionByName(values)
     spark = df.sparkSession
-    everything = spark.createDataFrame(
-        [(name, 0, "All") for name, _, _ in parts], "filter string, position int, option string"
+    everything = constant_frame(
+        spark, [(name, 0, "All") for name, _, _ in parts], ["filter", "position", "option"]
     )
     return everything.unionByName(out).orderBy("filter", "position", "option")
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from wattlake.functions.bands import risk_band, severity_rank
 from wattlake.functions.rounding import round_columns
-from wattlake.operators.rollup import Measure, avg, distinct, peak, rollup, rows, total
+from wattlake.operators.rollup import Measure, avg, distinct, most_frequent, peak, rollup, rows, total
 from wattlake.schema import NORMAL, SUBSTATION_KEYS, TRANSFORMER_KEYS
 
 GOLD_TABLES = [
@@ -97,14 +97,20 @@ def with_dominant_type(summary: DataFrame, df: DataFrame) -> DataFrame:
 
 
 def transformer_rollup(df: DataFrame, digits: int | None) -> DataFrame:
-    """One row per transformer with both bands; ``digits`` rounds before banding."""
-    summary = rollup(df, TRANSFORMER_KEYS, transformer_measures())
+    """One row per transformer with both bands; ``digits`` rounds before banding.
+
+    The dominant type comes out of the same pass as the averages: the inner grouping by
+    anomaly type that the distinct count needs already holds its frequencies.
+    """
+    dominant = most_frequent("dominant_anomaly_type", "anomaly_type", F.col("status") != NORMAL, NORMAL)
+    summary = rollup(df, TRANSFORMER_KEYS, transformer_measures() + [dominant])
     if digits is not None:
         summary = round_columns(summary, digits)
     banded = summary.withColumns(
         {"worst_status": risk_band(F.col("max_risk_score")), "status": risk_band(F.col("avg_risk_score"))}
     )
-    return with_dominant_type(banded, df).orderBy(F.desc("avg_risk_score"), "transformer_id")
+    order = [c for c in banded.columns if c != "dominant_anomaly_type"] + ["dominant_anomaly_type"]
+    return banded.select(*order).orderBy(F.desc("avg_risk_score"), "transformer_id")
 
 
 def transformer_summary(df: DataFrame) -> DataFrame:

@@ -21,6 +21,7 @@ from wattlake.functions.bands import risk_band
 from wattlake.functions.labels import anomaly_type_rules
 from wattlake.functions.scoring import with_rule_risk
 from wattlake.operators.quantiles import exact_quantiles
+from wattlake.operators.sampling import smallest_hashes
 from wattlake.schema import FEATURE_COLUMNS, NORMAL
 
 NODE_SCHEMA = "tree int, node int, feature int, threshold double, left int, right int, path double"
@@ -72,13 +73,11 @@ def tree_samples(features: DataFrame, params: ForestParams) -> DataFrame:
     """(tree, slot, features): ``sample_size`` different rows for every tree.
 
     The rows with the smallest hashes form a random permutation of at most
-    ``trees * sample_size`` rows, a distributed top-n.  Tree t takes the t-th block of the
+    ``trees * sample_size`` rows.  Tree t takes the t-th block of the
     permutation; when the data are fewer than the blocks, the permutation repeats.
     """
-    slots = params.trees * params.sample_size
-    key = F.xxhash64(F.col("event_id"), F.lit(params.seed))
-    pool = features.withColumn("_h", key).orderBy("_h", "event_id").limit(slots)
-    ranked = pool.withColumn("_r", F.row_number().over(Window.orderBy("_h", "event_id")) - 1)
+    pool = smallest_hashes(features, params.trees * params.sample_size, params.seed)
+    ranked = pool.withColumn("_r", F.row_number().over(Window.orderBy("_order", "event_id")) - 1)
     size = pool.agg(F.count(F.lit(1)).cast("int").alias("_n"))
     per_tree = F.least(F.col("_n"), F.lit(params.sample_size))
     placed = ranked.crossJoin(F.broadcast(size)).withColumn(

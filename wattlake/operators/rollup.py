@@ -21,6 +21,7 @@ class Measure:
     kind: str
     value: Column | str
     condition: Column | None = None
+    otherwise: str | None = None
 
 
 def avg(alias: str, value: Column | str) -> Measure:
@@ -56,6 +57,14 @@ def distinct_where(alias: str, column: str, condition: Column) -> Measure:
     return Measure(alias, "distinct", column, condition)
 
 
+def most_frequent(alias: str, column: str, condition: Column, otherwise: str) -> Measure:
+    """Most frequent value of ``column`` among rows meeting the condition; ties go to the first value.
+
+    The column must also be counted with ``distinct`` so that it is part of the inner keys.
+    """
+    return Measure(alias, "mode", column, condition, otherwise)
+
+
 def _column(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
@@ -89,6 +98,10 @@ def rollup(df: DataFrame, keys: list[str], measures: list[Measure]) -> DataFrame
             else:
                 inner.append(F.max(F.when(m.condition, 1)).alias(p))
                 outer.append(F.count_distinct(F.when(F.col(p) == 1, F.col(m.value))).alias(m.alias))
+        elif m.kind == "mode":
+            inner.append(F.count(F.when(m.condition, 1)).alias(p))
+            best = F.min(F.when(F.col(p) > 0, F.struct((-F.col(p)).alias("rank"), F.col(m.value).alias("value"))))
+            outer.append(F.coalesce(best["value"], F.lit(m.otherwise)).alias(m.alias))
         elif m.kind == "count":
             inner.append(_direct(m).alias(p))
             outer.append(F.coalesce(F.sum(p), F.lit(0)).alias(m.alias))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wattlake.functions.picks import sample_order
+from wattlake.functions.picks import hash_slice, sample_order
 from wattlake.functions.rounding import round_half_even
 from wattlake.schema import NOMINAL_VOLTAGE_KV
 
@@ -15,9 +15,24 @@ CHART_POINTS = 2500
 PRIORITY_STATUSES = ["Critical", "High Risk", "Warning"]
 
 
+def smallest_hashes(df: DataFrame, n: int, seed: int = SEED) -> DataFrame:
+    """The ``n`` rows with the smallest hash of their event id, as ``_order`` and ``event_id`` sort them.
+
+    A plain top-n would send ``n`` rows of every input partition to one task.  Here the
+    rows are counted per hash slice first (a million small counts at most); only slices up
+    to the one holding the n-th row go on, about ``n`` rows plus a millionth of the data.
+    """
+    hashed = df.withColumn("_order", sample_order(F.col("event_id"), seed))
+    slice_ = hash_slice(F.col("_order"))
+    counted = hashed.groupBy(slice_.alias("slice")).agg(F.count(F.lit(1)).alias("c"))
+    before = F.sum("c").over(Window.orderBy("slice")) - F.col("c")
+    last = counted.withColumn("before", before).filter(F.col("before") < n).agg(F.max("slice")).scalar()
+    return hashed.filter(slice_ <= last).orderBy("_order", "event_id").limit(n)
+
+
 def uniform_sample(df: DataFrame, n: int = UNIFORM_SIZE, seed: int = SEED) -> DataFrame:
-    """``n`` rows in hash order: a repeatable sample, a distributed top-n."""
-    return df.orderBy(sample_order(F.col("event_id"), seed), "event_id").limit(n)
+    """``n`` rows in hash order: the same sample on every run."""
+    return smallest_hashes(df, n, seed).drop("_order")
 
 
 def priority_sample(df: DataFrame, target: int = CHART_POINTS, seed: int = SEED) -> DataFrame:
@@ -27,10 +42,10 @@ def priority_sample(df: DataFrame, target: int = CHART_POINTS, seed: int = SEED)
     """
     important = df.filter(F.col("status").isin(PRIORITY_STATUSES))
     room = F.lit(target) - important.agg(F.count(F.lit(1))).scalar()
-    order = [sample_order(F.col("event_id"), seed), F.col("event_id")]
-    others = df.filter(F.col("status").isin("Normal", "Low")).orderBy(*order).limit(target)
-    filling = others.withColumn("_rank", F.row_number().over(Window.orderBy(*order))).filter(F.col("_rank") <= room)
-    return important.unionByName(filling.drop("_rank"))
+    others = smallest_hashes(df.filter(F.col("status").isin("Normal", "Low")), target, seed)
+    rank = F.row_number().over(Window.orderBy("_order", "event_id"))
+    filling = others.withColumn("_rank", rank).filter(F.col("_rank") <= room)
+    return important.unionByName(filling.drop("_rank", "_order"))
 
 
 def _text(value: Column, digits: int) -> Column:

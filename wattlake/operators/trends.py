@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,8 +36,8 @@ def _holding_rank(counted: DataFrame, state: list[str], name: str) -> DataFrame:
     )
 
 
-def split_boundary(df: DataFrame, share: float = 0.8) -> DataFrame:
-    """One row with the time, hash slice and id of the first row after the oldest ``int(share * n)``.
+def rank_boundary(df: DataFrame, target: Callable[[Column], Column]) -> DataFrame:
+    """One row with the time, hash slice and id of the row at rank ``target(number of rows)``, oldest first.
 
     Rows are ranked by time, then by a hash of the event id, then by the id.  No global
     sort and no single-task ranking is needed: the boundary is found by counting rows per
@@ -48,7 +50,7 @@ def split_boundary(df: DataFrame, share: float = 0.8) -> DataFrame:
     per_hour = keyed.groupBy(floor_hour(ts).alias("_hour")).agg(F.count(F.lit(1)).alias("n"))
     everything = F.sum("n").over(Window.partitionBy())
     per_hour = per_hour.select(
-        "_hour", "n", F.floor(everything * F.lit(float(share))).alias("_target"), F.lit(0).alias("_before")
+        "_hour", "n", target(everything).cast("bigint").alias("_target"), F.lit(0).alias("_before")
     )
     hour = _holding_rank(per_hour, ["_target"], "_hour")
     in_hour = keyed.crossJoin(F.broadcast(hour)).filter((ts >= F.col("_hour")) & (ts < F.col("_hour") + hours(1)))
@@ -65,13 +67,24 @@ def _slice() -> Column:
     return F.shiftright(hash32(F.col("event_id")), 12)
 
 
+def _at_or_after() -> Column:
+    """Condition on rows joined with the one row of ``rank_boundary``."""
+    ts, part = F.col("timestamp"), _slice()
+    tie = (part > F.col("_part")) | ((part == F.col("_part")) & (F.col("event_id") >= F.col("_event")))
+    return (ts > F.col("_stamp")) | ((ts == F.col("_stamp")) & tie)
+
+
 def mark_recent(df: DataFrame, share: float = 0.8) -> DataFrame:
     """Add ``is_recent``: false for the oldest ``int(share * n)`` rows, true for the rest."""
-    ts, later = F.col("timestamp"), _slice() > F.col("_part")
-    tie = later | ((_slice() == F.col("_part")) & (F.col("event_id") >= F.col("_event")))
-    marked = df.crossJoin(F.broadcast(split_boundary(df, share)))
-    recent = (ts > F.col("_stamp")) | ((ts == F.col("_stamp")) & tie)
-    return marked.withColumn("is_recent", recent).drop("_stamp", "_part", "_event")
+    boundary = rank_boundary(df, lambda n: F.floor(n * F.lit(float(share))))
+    marked = df.crossJoin(F.broadcast(boundary))
+    return marked.withColumn("is_recent", _at_or_after()).drop("_stamp", "_part", "_event")
+
+
+def newest(df: DataFrame, n: int = 50000) -> DataFrame:
+    """The ``n`` newest rows, found by their boundary and not by a top-n through one task."""
+    boundary = rank_boundary(df, lambda total: F.greatest(total - n, F.lit(0)))
+    return df.crossJoin(F.broadcast(boundary)).filter(_at_or_after()).select(*df.columns)
 
 
 def percent_change(recent: Column, earlier: Column, limit: float | None = TREND_LIMIT) -> Column:

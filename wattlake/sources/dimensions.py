@@ -48,11 +48,19 @@ DEFAULT_LATITUDE, DEFAULT_LONGITUDE = 22.0, 78.0
 # --- end of fixed values ----------------------------------------------------------------------
 
 
+def constant_frame(spark: SparkSession, rows: list[tuple], columns: list[str]) -> DataFrame:
+    """A small table written into the plan, whose size Spark therefore knows when it picks joins."""
+
+    def literal(value) -> str:
+        return f"'{value}'" if isinstance(value, str) else f"{value}D" if isinstance(value, float) else str(value)
+
+    body = ", ".join("(" + ", ".join(literal(v) for v in row) + ")" for row in rows)
+    return spark.sql(f"SELECT * FROM VALUES {body} AS t({', '.join(columns)})")
+
+
 def substation_dimension(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        SUBSTATIONS, "substation_id string, latitude double, longitude double, region string, name string"
-    )
+    return constant_frame(spark, SUBSTATIONS, ["substation_id", "latitude", "longitude", "region", "name"])
 
 
 def transmission_lines(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(TRANSMISSION_LINES, "src string, dst string")
+    return constant_frame(spark, TRANSMISSION_LINES, ["src", "dst"])

@@ -27,11 +27,6 @@ def export_csv(tables: dict[str, DataFrame], folder: str) -> None:
         df.coalesce(1).write.mode("overwrite").option("header", True).csv(f"{folder}/{name}")
 
 
-def newest(df: DataFrame, n: int = 50000) -> DataFrame:
-    """The ``n`` newest rows, a distributed top-n."""
-    return df.orderBy(F.desc("timestamp"), "event_id").limit(n)
-
-
 def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 

@@ -68,7 +68,9 @@ def _(spark, sf_dir):
     events = raw(spark, sf_dir)
     line = F.to_json(F.struct(*[c for c in STREAM_COLUMNS if c != "timestamp"]))
     cut = F.when(F.col("outage_duration_min") > 0, F.substring(line, 1, 60)).otherwise(line)
-    events.select(cut.alias("value")).write.mode("overwrite").text(f"{folder}/events")
+    if (spark.sparkContext.applicationId, folder) not in _DONE:
+        events.select(cut.alias("value")).write.mode("overwrite").text(f"{folder}/events")
+        _DONE.add((spark.sparkContext.applicationId, folder))
     good = ingest.drain(spark, f"{folder}/events", f"{folder}/sink", f"{folder}/checkpoint")
     ingest.quarantine(spark, f"{folder}/events", f"{folder}/bad", f"{folder}/bad_checkpoint", None).awaitTermination()
     bad = spark.read.schema("event_id string, line string").json(f"{folder}/bad")

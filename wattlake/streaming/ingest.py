@@ -24,16 +24,23 @@ FRESH_SECONDS = 30
 
 
 def read_stream(spark: SparkSession, events_dir: str, max_files: int = 10) -> DataFrame:
-    """JSON lines with the declared schema; an unparsable line keeps its text in one column."""
-    schema = T.StructType(STREAM_SCHEMA.fields + [T.StructField(CORRUPT, T.StringType(), True)])
-    return (
-        spark.readStream.schema(schema)
-        .option("maxFilesPerTrigger", max_files)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("ignoreCorruptFiles", "true")
-        .json(events_dir)
+    """JSON lines with the declared schema; an unparsable line keeps its text in one column.
+
+    Lines are read as text and parsed as a whole.  The JSON source would parse only the
+    columns a query uses, and two queries on the same files could then disagree on which
+    lines are good.
+    """
+    lines = (
+        spark.readStream.option("maxFilesPerTrigger", max_files).option("ignoreCorruptFiles", "true").text(events_dir)
     )
+    return parse_lines(lines)
+
+
+def parse_lines(lines: DataFrame) -> DataFrame:
+    schema = T.StructType(STREAM_SCHEMA.fields + [T.StructField(CORRUPT, T.StringType(), True)])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    event = F.from_json("value", schema, options).alias("event")
+    return lines.filter(F.length(F.trim("value")) > 0).select(event).select("event.*")
 
 
 def readable(events: DataFrame) -> DataFrame:

@@ -140,7 +140,7 @@ _NAMES = ("CASE max({p}) WHEN 4 THEN 'Critical' WHEN 3 THEN 'High Risk' WHEN 2 T
 _TABLE = f"SELECT {TK}, {four(_AVGS)}, max(risk_score) AS max_risk, {_NAMES} AS status FROM silver {{w}} GROUP BY {TK}"
 register("a48_transformer_table", on_silver(_TABLE.format(w="")), digits=4)(dashboard.transformer_table)
 register("q09_sorted_transformer_table", on_silver(
-    f"""SELECT * EXCLUDE (avg_temp_raw), row_number() OVER (ORDER BY avg_temp_raw, transformer_id) AS position
+    f"""SELECT * EXCLUDE (avg_temp_raw), CAST(row_number() OVER (ORDER BY avg_temp_raw, transformer_id) AS INTEGER) AS position
     FROM (SELECT {TK}, avg(temperature_c) AS avg_temp_raw, {four(_AVGS)} FROM silver
     WHERE lower(transformer_id) LIKE '%00002%' GROUP BY {TK})"""), digits=4)(
     lambda df: _with_position(filters.sort_table(

@@ -110,8 +110,8 @@ def _(df):
     return gold.critical_rows(df).select("event_id", "transformer_id", "risk_score")
 
 
-@register("t01_severity_order", on_silver("""SELECT status, count(*) AS n, row_number() OVER (ORDER BY CASE status
-      WHEN 'Critical' THEN 1 WHEN 'High Risk' THEN 2 WHEN 'Warning' THEN 3 WHEN 'Low' THEN 4 ELSE 5 END, status)
+@register("t01_severity_order", on_silver("""SELECT status, count(*) AS n, CAST(row_number() OVER (ORDER BY CASE status
+      WHEN 'Critical' THEN 1 WHEN 'High Risk' THEN 2 WHEN 'Warning' THEN 3 WHEN 'Low' THEN 4 ELSE 5 END, status) AS INTEGER)
       AS position FROM silver GROUP BY status"""))
 def _(df):
     from pyspark.sql import Window, functions as F

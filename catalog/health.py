@@ -33,15 +33,26 @@ _TRENDS = {"load_trend": _diff("load_percent"), "temp_trend": _diff("temperature
 register("w05_day_over_previous", on_silver(f"SELECT {four(_TRENDS)}", _LAST), digits=4)(trends.day_over_previous)
 
 
-def _struct(expr_by_name: dict[str, str]) -> str:
-    return "{" + ", ".join(f"'{k}': count(*) FILTER ({v})" for k, v in expr_by_name.items()) + "}"
+def _spread(prefix: str, expr_by_name: dict[str, str]) -> str:
+    return ", ".join(f"count(*) FILTER ({v}) AS {prefix}_{k}" for k, v in expr_by_name.items())
+
+
+_NESTED = ("status_distribution", "load_distribution", "temperature_distribution")
+
+
+def _flat_metrics(df):
+    """The metrics with their nested counts spread into columns."""
+    metrics = health.grid_health_metrics(df)
+    plain = [c for c in metrics.columns if c not in _NESTED]
+    spread = [metrics[n][f].alias(f"{n.split('_')[0]}_{f}") for n in _NESTED for f in metrics.schema[n].dataType.names]
+    return metrics.select(*plain, *spread)
 
 
 register("a19_grid_health_metrics", on_silver(f"""SELECT count(*) AS total_records,
     count(DISTINCT transformer_id) AS total_transformers, count(DISTINCT substation_id) AS total_substations,
     count(DISTINCT region) AS total_regions,
-    {_struct({s.lower().replace(' ', '_'): f"status = '{s}'" for s in ('Normal', 'Low', 'Warning', 'High Risk', 'Critical')})}
-      AS status_distribution, {FAULTS} AS total_faults, CAST(sum(anomaly_flag) AS BIGINT) AS anomaly_count,
+    {_spread('status', {s.lower().replace(' ', '_'): f"status = '{s}'"
+                        for s in ('Normal', 'Low', 'Warning', 'High Risk', 'Critical')})}, {FAULTS} AS total_faults, CAST(sum(anomaly_flag) AS BIGINT) AS anomaly_count,
     {four({
         'health_percentage': "count(*) FILTER (status = 'Normal') / count(*) * 100",
         'fault_rate': 'sum(fault_indicator) / count(*) * 100', 'anomaly_rate': 'sum(anomaly_flag) / count(*) * 100',
@@ -53,12 +64,11 @@ register("a19_grid_health_metrics", on_silver(f"""SELECT count(*) AS total_recor
         'total_energy_consumed_mwh': 'sum(energy_consumed_mwh)', 'avg_efficiency': 'avg(transmission_efficiency)',
         'avg_latency_ms': 'avg(communication_latency_ms)', 'max_latency_ms': 'max(communication_latency_ms)',
         **_TRENDS})}, max(risk_score) AS max_risk_score,
-    {_struct({'low': 'load_percent < 30', 'medium': 'load_percent >= 30 AND load_percent < 60',
-              'high': 'load_percent >= 60 AND load_percent < 85', 'critical': 'load_percent >= 85'})} AS load_distribution,
-    {_struct({'normal': 'temperature_c < 50', 'elevated': 'temperature_c >= 50 AND temperature_c < 60',
-              'high': 'temperature_c >= 60 AND temperature_c < 70', 'critical': 'temperature_c >= 70'})}
-      AS temperature_distribution, max("timestamp") AS latest_timestamp, min("timestamp") AS time_range_start
-    FROM silver""", _LAST), digits=4)(health.grid_health_metrics)
+    {_spread('load', {'low': 'load_percent < 30', 'medium': 'load_percent >= 30 AND load_percent < 60',
+              'high': 'load_percent >= 60 AND load_percent < 85', 'critical': 'load_percent >= 85'})},
+    {_spread('temperature', {'normal': 'temperature_c < 50', 'elevated': 'temperature_c >= 50 AND temperature_c < 60',
+              'high': 'temperature_c >= 60 AND temperature_c < 70', 'critical': 'temperature_c >= 70'})}, max("timestamp") AS latest_timestamp, min("timestamp") AS time_range_start
+    FROM silver""", _LAST), digits=4)(_flat_metrics)
 
 _TH = {
     "avg_load_percent": "avg(load_percent)", "max_load_percent": "max(load_percent)", "min_load_percent": "min(load_percent)",

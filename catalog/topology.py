@@ -146,7 +146,7 @@ hx AS (SELECT *, row_number() OVER (ORDER BY hour) - 1 AS x FROM hs),
 fit AS (SELECT count(*) AS n, max(hour) AS last_hour, regr_slope(load, x) AS ls, regr_intercept(load, x) AS li,
     regr_slope(cons, x) AS cs, regr_intercept(cons, x) AS ci FROM hx)"""
 _LOAD_F = "least(100, greatest(0, li + ls * (n - 1 + step)))"
-_STEPS = "range(1, 7) r(step)"
+_STEPS = "(SELECT CAST(step AS INTEGER) AS step FROM range(1, 7) r(step))"
 register("ml9_load_forecast", on_silver(f"""SELECT step, last_hour + to_hours(step) AS forecast_hour,
     {rs(_LOAD_F, 4)} AS forecast FROM fit, {_STEPS} WHERE n >= 6""", _SERIES), digits=4)(forecast.load_forecast)
 register("ml9_forecast_report", on_silver("SELECT " + ", ".join(

@@ -87,6 +87,13 @@ def test_recent_split_against_brute_force(frame, spread):
     assert [r["is_recent"] for r in ordered] == [False] * cut + [True] * (700 - cut)
 
 
+def test_rows_without_a_timestamp_are_kept_and_recent(frame):
+    rows = [reading(i) for i in range(10)] + [reading(i, timestamp=None) for i in range(10, 13)]
+    marked = {r["event_id"][-2:]: r["is_recent"] for r in trends.mark_recent(frame(rows)).collect()}
+    assert len(marked) == 13 and [k for k in sorted(marked) if marked[k]] == ["08", "09", "10", "11", "12"]
+    assert trends.mark_recent(frame(rows[10:])).count() == 3
+
+
 @pytest.mark.parametrize("n", [1, 123, 700, 5000])
 def test_newest_against_brute_force(frame, n):
     df = frame([reading(i, timestamp=START + timedelta(minutes=(i * 37) % 11)) for i in range(700)])

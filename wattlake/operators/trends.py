@@ -46,7 +46,7 @@ def rank_boundary(df: DataFrame, target: Callable[[Column], Column]) -> DataFram
     one timestamp the ordered slice is about a millionth of them.
     """
     ts = F.col("timestamp")
-    keyed = df.select("timestamp", "event_id")
+    keyed = df.select("timestamp", "event_id").filter(ts.isNotNull())
     per_hour = keyed.groupBy(floor_hour(ts).alias("_hour")).agg(F.count(F.lit(1)).alias("n"))
     everything = F.sum("n").over(Window.partitionBy())
     per_hour = per_hour.select(
@@ -75,10 +75,14 @@ def _at_or_after() -> Column:
 
 
 def mark_recent(df: DataFrame, share: float = 0.8) -> DataFrame:
-    """Add ``is_recent``: false for the oldest ``int(share * n)`` rows, true for the rest."""
+    """Add ``is_recent``: false for the oldest ``int(share * n)`` rows, true for the rest.
+
+    Rows without a timestamp are not ranked and count as recent.
+    """
     boundary = rank_boundary(df, lambda n: F.floor(n * F.lit(float(share))))
-    marked = df.crossJoin(F.broadcast(boundary))
-    return marked.withColumn("is_recent", _at_or_after()).drop("_stamp", "_part", "_event")
+    marked = df.join(F.broadcast(boundary), F.lit(True), "left")
+    recent = F.coalesce(_at_or_after(), F.lit(True))
+    return marked.withColumn("is_recent", recent).drop("_stamp", "_part", "_event")
 
 
 def newest(df: DataFrame, n: int = 50000) -> DataFrame:

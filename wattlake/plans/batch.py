@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from wattlake.operators import cleaning
 from wattlake.operators.quantiles import exact_quantiles
 from wattlake.schema import IMPUTED_COLUMNS, PARTITION_COLUMN, SILVER_SCHEMA, TELEMETRY_SCHEMA
+from wattlake.sources.dimensions import settled
 
 
 def add_ingestion_metadata(df: DataFrame, batch: str = "batch_001", at: datetime | None = None) -> DataFrame:
@@ -43,11 +44,13 @@ def build_silver(
     The deduplicated rows are written once to ``stage_path``: medians, means and the final
     rows each read that table (medians and means only their own columns) instead of
     shuffling the raw rows three times.  The stage also survives the loss of executors.
+    Medians and means, one row each, become constants of the final projection.
     """
     write_layer(cleaning.dedup(bronze), stage_path)
     stage = spark.read.schema(TELEMETRY_SCHEMA).parquet(stage_path)
-    cleaned = cleaning.clean(stage, exact_quantiles(stage, IMPUTED_COLUMNS), profile)
-    final = cleaning.project_final(cleaning.silver_metadata(cleaning.add_zscores(cleaned)))
+    cleaned = cleaning.clean(stage, settled(exact_quantiles(stage, IMPUTED_COLUMNS)), profile)
+    scored = cleaning.add_zscores(cleaned, settled(cleaning.zscore_statistics(cleaned)))
+    final = cleaning.project_final(cleaning.silver_metadata(scored))
     write_layer(final.withColumn(PARTITION_COLUMN, F.to_date("timestamp")), silver_path, PARTITION_COLUMN)
     return read_silver(spark, silver_path)
 

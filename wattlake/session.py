@@ -55,9 +55,8 @@ def shared_root(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="wattlake-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="wattlake-"))
+    return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
 def work_path(spark: SparkSession, *parts: str) -> str:

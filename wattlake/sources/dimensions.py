@@ -52,12 +52,22 @@ def constant_frame(spark: SparkSession, rows: list[tuple], columns: list[str]) -
     """A small table written into the plan, whose size Spark therefore knows when it picks joins."""
 
     def literal(value) -> str:
-        return f"'{value}'" if isinstance(value, str) else f"{value}D" if isinstance(value, float) else str(value)
+        if value is None:
+            return "CAST(NULL AS DOUBLE)"
+        if isinstance(value, float):
+            return f"CAST('{value!r}' AS DOUBLE)"
+        return f"'{value}'" if isinstance(value, str) else str(value)
 
     body = ", ".join("(" + ", ".join(literal(v) for v in row) + ")" for row in rows)
     return spark.sql(f"SELECT * FROM VALUES {body} AS t({', '.join(columns)})")
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """Run a one-row aggregate of doubles now and put its values into later plans as constants."""
+    row = df.first()
+    return constant_frame(df.sparkSession, [tuple(row)], df.columns)
+
+
 def substation_dimension(spark: SparkSession) -> DataFrame:
     return constant_frame(spark, SUBSTATIONS, ["substation_id", "latitude", "longitude", "region", "name"])
 

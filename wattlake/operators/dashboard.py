@@ -54,11 +54,11 @@ def region_energy_report(df: DataFrame) -> DataFrame:
         F.grouping("region").alias("_all"),
         *[F.sum(c).alias(c) for c in per_region.columns if c != "region"],
     )
-    whole = F.max(F.when(F.col("_all") == 1, F.col("record_count")))
-    total_rows = rolled.agg(whole.alias("_rows"))
-    return rolled.crossJoin(F.broadcast(total_rows)).select(
+    # one row per region and one total: small enough for a single window
+    whole = F.max(F.when(F.col("_all") == 1, F.col("record_count"))).over(Window.partitionBy())
+    return rolled.select(
         F.when(F.col("_all") == 1, "TOTAL").otherwise(F.col("region")).alias("region"),
-        "record_count", (F.col("record_count") * 100.0 / F.col("_rows")).alias("percent"),
+        "record_count", (F.col("record_count") * 100.0 / whole).alias("percent"),
         "total_energy_generated_mwh", "total_energy_consumed_mwh",
     )
 

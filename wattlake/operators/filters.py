@@ -105,29 +105,23 @@ def apply_dashboard_filters(df: DataFrame, spec: FilterSpec) -> DataFrame:
 def filter_options(df: DataFrame, spec: FilterSpec) -> DataFrame:
     """(filter, position, option): "All" first, then the sorted values open to the user.
 
-    The hierarchy is reduced to its distinct combinations first, so the raw rows are read
-    once and only the small result is sorted.
+    The raw rows are read once and reduced to the distinct paths of the hierarchy; each
+    path then offers its values and only the small result is sorted.
     """
     spec = spec.cleaned()
     paths = df.select("region", "substation_id", "transformer_id").distinct()
-    in_region = paths if spec.region is None else paths.filter(F.col("region") == spec.region)
-    if spec.substation_id is not None:
-        scope = paths.filter(F.col("substation_id") == spec.substation_id)
-    else:
-        scope = in_region
-    parts = [("region", paths, "region"), ("substation_id", in_region, "substation_id"),
-             ("transformer_id", scope, "transformer_id")]
-    out = None
-    for name, frame, column in parts:
-        values = frame.select(
-            F.lit(name).alias("filter"), F.lit(1).alias("position"), F.col(column).alias("option")
-        ).distinct()
-        out = values if out is None else out.unionByName(values)
-    spark = df.sparkSession
+    in_region = F.lit(True) if spec.region is None else F.col("region") == spec.region
+    scope = in_region if spec.substation_id is None else F.col("substation_id") == spec.substation_id
+    open_to = {"region": F.lit(True), "substation_id": in_region, "transformer_id": scope}
+    offers = F.array(*[
+        F.struct(F.lit(name).alias("filter"), F.lit(1).alias("position"), F.when(shown, F.col(name)).alias("option"))
+        for name, shown in open_to.items()
+    ])
+    values = paths.select(F.inline(offers)).filter(F.col("option").isNotNull()).distinct()
     everything = constant_frame(
-        spark, [(name, 0, "All") for name, _, _ in parts], ["filter", "position", "option"]
+        df.sparkSession, [(name, 0, "All") for name in open_to], ["filter", "position", "option"]
     )
-    return everything.unionByName(out).orderBy("filter", "position", "option")
+    return everything.unionByName(values).orderBy("filter", "position", "option")
 
 
 def check_consistency(df: DataFrame, spec: FilterSpec) -> DataFrame:

@@ -9,6 +9,7 @@ from conftest import SF
 from catalog.base import silver
 from wattlake.operators import filters, gold, sampling, service, trends
 from wattlake.operators.filters import FilterSpec
+from wattlake.plans import report
 
 
 @pytest.fixture(scope="module")
@@ -59,6 +60,15 @@ def test_same_result_on_one_and_many_partitions(rows, make):
     assert one == many
 
 
+def test_written_gold_equals_the_single_plans(spark, rows, tmp_path):
+    report.build_gold(rows, str(tmp_path), f"{tmp_path}/csv")
+    for name, table in gold.gold_tables(rows).items():
+        written = spark.read.parquet(f"{tmp_path}/{name}")
+        assert written.columns == table.columns
+        assert sorted(map(repr, written.collect())) == sorted(map(repr, table.collect())), name
+        assert spark.read.option("header", True).csv(f"{tmp_path}/csv/{name}").count() == table.count()
+
+
 def test_invariants(rows):
     assert rows.filter("risk_score < 0 OR risk_score > 100 OR anomaly_score < 0 OR anomaly_score > 1").count() == 0
     assert rows.filter("status NOT IN ('Normal', 'Low', 'Warning', 'High Risk', 'Critical')").count() == 0

@@ -71,42 +71,69 @@ def _column(value: Column | str) -> Column:
 
 def _direct(m: Measure) -> Column:
     fn = {"avg": F.avg, "sum": F.sum, "max": F.max, "min": F.min, "count": F.count}[m.kind]
-    return fn(_column(m.value)).alias(m.alias)
+    return fn(_column(m.value))
 
 
 def _group(df: DataFrame, keys: list[str]):
     return df.groupBy(*keys) if keys else df.groupBy()
 
 
+def _counted(measures: list[Measure]) -> list[str]:
+    return list(dict.fromkeys(m.value for m in measures if m.kind == "distinct"))
+
+
+def _inner_keys(keys: list[str], measures: list[Measure]) -> list[str]:
+    return keys + [c for c in _counted(measures) if c not in keys]
+
+
+def _parts(m: Measure) -> dict[str, tuple[Column, str]]:
+    """Partial columns of a measure over raw rows, and how each of them merges."""
+    p = f"_{m.alias}"
+    if m.kind == "avg":
+        return {p: (F.sum(_column(m.value)), "sum"), f"{p}_n": (F.count(_column(m.value)), "sum")}
+    if m.kind == "distinct":
+        return {} if m.condition is None else {p: (F.max(F.when(m.condition, 1)), "max")}
+    if m.kind == "mode":
+        return {p: (F.count(F.when(m.condition, 1)), "sum")}
+    if m.kind == "count":
+        return {p: (F.count(_column(m.value)), "sum")}
+    return {p: (_direct(m), m.kind)}
+
+
+def _final(m: Measure) -> Column:
+    """The measure from partial rows that are unique per keys and counted columns."""
+    p = f"_{m.alias}"
+    if m.kind == "avg":
+        return F.try_divide(F.sum(p).cast("double"), F.sum(f"{p}_n"))
+    if m.kind == "distinct":
+        return F.count_distinct(F.col(m.value) if m.condition is None else F.when(F.col(p) == 1, F.col(m.value)))
+    if m.kind == "mode":
+        best = F.min(F.when(F.col(p) > 0, F.struct((-F.col(p)).alias("rank"), F.col(m.value).alias("value"))))
+        return F.coalesce(best["value"], F.lit(m.otherwise))
+    if m.kind == "count":
+        return F.coalesce(F.sum(p), F.lit(0))
+    return {"sum": F.sum, "max": F.max, "min": F.min}[m.kind](p)
+
+
+def partials(df: DataFrame, keys: list[str], measures: list[Measure]) -> DataFrame:
+    """Mergeable partial results of raw rows per key combination."""
+    columns = {name: expr for m in measures for name, (expr, _) in _parts(m).items()}
+    return _group(df, keys).agg(*[e.alias(n) for n, e in columns.items()] or [F.count(F.lit(1)).alias("_rows")])
+
+
+def combine(parts: DataFrame, keys: list[str], measures: list[Measure]) -> DataFrame:
+    """Final measures from partial rows, which may be finer than the keys."""
+    inner = _inner_keys(keys, measures)
+    how = {"sum": F.sum, "max": F.max, "min": F.min}
+    merges = {name: how[kind](name) for m in measures for name, (_, kind) in _parts(m).items()}
+    if merges and inner != keys:
+        parts = _group(parts, inner).agg(*[e.alias(n) for n, e in merges.items()])
+    return _group(parts, keys).agg(*[_final(m).alias(m.alias) for m in measures])
+
+
 def rollup(df: DataFrame, keys: list[str], measures: list[Measure]) -> DataFrame:
     """One row per key combination with the measures in the order given."""
-    counted = list(dict.fromkeys(m.value for m in measures if m.kind == "distinct"))
-    if not counted:
-        return _group(df, keys).agg(*[_direct(m) for m in measures])
-
-    inner_keys = keys + [c for c in counted if c not in keys]
-    inner: list[Column] = []
-    outer: list[Column] = []
-    for m in measures:
-        p = f"_{m.alias}"
-        if m.kind == "avg":
-            inner += [F.sum(_column(m.value)).alias(p), F.count(_column(m.value)).alias(f"{p}_n")]
-            outer.append(F.try_divide(F.sum(p).cast("double"), F.sum(f"{p}_n")).alias(m.alias))
-        elif m.kind == "distinct":
-            if m.condition is None:
-                outer.append(F.count_distinct(F.col(m.value)).alias(m.alias))
-            else:
-                inner.append(F.max(F.when(m.condition, 1)).alias(p))
-                outer.append(F.count_distinct(F.when(F.col(p) == 1, F.col(m.value))).alias(m.alias))
-        elif m.kind == "mode":
-            inner.append(F.count(F.when(m.condition, 1)).alias(p))
-            best = F.min(F.when(F.col(p) > 0, F.struct((-F.col(p)).alias("rank"), F.col(m.value).alias("value"))))
-            outer.append(F.coalesce(best["value"], F.lit(m.otherwise)).alias(m.alias))
-        elif m.kind == "count":
-            inner.append(_direct(m).alias(p))
-            outer.append(F.coalesce(F.sum(p), F.lit(0)).alias(m.alias))
-        else:
-            inner.append(_direct(m).alias(p))
-            outer.append({"sum": F.sum, "max": F.max, "min": F.min}[m.kind](p).alias(m.alias))
-    inner = inner or [F.count(F.lit(1)).alias("_rows")]
-    return _group(_group(df, inner_keys).agg(*inner), keys).agg(*outer)
+    if not _counted(measures):
+        return _group(df, keys).agg(*[_direct(m).alias(m.alias) for m in measures])
+    parts = partials(df, _inner_keys(keys, measures), measures)
+    return _group(parts, keys).agg(*[_final(m).alias(m.alias) for m in measures])

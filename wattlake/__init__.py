@@ -6,3 +6,10 @@ model fitting) live in ``wattlake.plans`` and say so.
 """
 
 __version__ = "0.1.0"
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions sent to executors travel with their code, so workers need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

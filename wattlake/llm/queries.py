@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-from wattlake.llm import lines, mixing, packing, url_filter, warc  # noqa: F401
+from wattlake.llm import lines, minhash, mixing, packing, url_filter, warc  # noqa: F401
 from wattlake.llm.shared import ORACLE, QUERIES  # noqa: F401

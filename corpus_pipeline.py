@@ -6,24 +6,50 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattlake.llm.lines import dedup_lines
+from wattlake.llm.minhash import near_duplicates
 from wattlake.llm.mixing import apply_mix
+from wattlake.llm.packing import pack_documents, tokenizer_path
+from wattlake.llm.quality import fit, keep_good
 from wattlake.llm.shared import stored, table
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go; it learns from ``labels`` and the documents given."""
+    return keep_good(docs, fit(docs, table(spark, sf_dir, "labels")))
+
+
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Frequent lines go; the documents stay, with what is left of them."""
+    """Frequent lines go; every document stays, with what is left of it."""
     out = dedup_lines(docs).withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-duplicates the document with the smallest doc_id stays; documents without
+    words or without a doc_id belong to no group and stay."""
+    gone = near_duplicates(docs).where("NOT kept AND component_id IS NOT NULL").select(F.col("doc_id").alias("_gone")).distinct()
+    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+
+
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often, and as far, as the mix takes it."""
     return apply_mix(docs)
 
 
-STAGES = [("line dedup", line_dedup), ("mixing", mixing)]
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all sequences, with their token ids."""
+    return pack_documents(docs, tokenizer_path())
+
+
+STAGES = [
+    ("quality classifier", quality),
+    ("line dedup", line_dedup),
+    ("minhash near-dedup", near_dedup),
+    ("mixing", mixing),
+    ("packing", packing),
+]
 
-#: Training and tokenizing can't be said in SQL.
+#: Fitting the classifier and the token ids can't be said in SQL.
 ORACLE_SQL = None
 
 

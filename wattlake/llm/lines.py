@@ -67,7 +67,16 @@ class LineRuns:
 
     @staticmethod
     def _sum(runs: list[DataFrame]) -> DataFrame:
-        return reduce(DataFrame.unionByName, runs).groupBy("hash").agg(F.sum("n").alias("n"))
+        """Runs merged: a hash occurs once in each, so sums need only joins of sorted buckets.
+
+        (A union of bucketed tables must not be grouped by the bucket column: Spark 4.1 then leaves out
+        the exchange, but may read the tables unbucketed.)"""
+
+        def merged(a: DataFrame, b: DataFrame) -> DataFrame:
+            both = a.join(b.withColumnRenamed("n", "m").hint("merge"), "hash", "full_outer")
+            return both.select("hash", (F.coalesce("n", F.lit(0)) + F.coalesce("m", F.lit(0))).alias("n"))
+
+        return reduce(merged, runs)
 
     def frequent(self) -> DataFrame:
         """Hashes found in at least ``min_docs`` documents."""
@@ -99,7 +108,8 @@ def dedup_lines(
     for batch in range(batches):
         mine = lines.where((F.col("batch") == batch) & F.col("hash").isNotNull())
         runs.add(mine.select("hash", "doc_id").distinct().groupBy("hash").agg(F.count(F.lit(1)).alias("n")))
-    frequent = runs.frequent().withColumn("dropped", F.lit(True))
+    # written, so that the join deals out both sides itself and can split a hash that very many lines have
+    frequent = stored(runs.frequent(), "frequent-lines").withColumn("dropped", F.lit(True))
     marks = (
         lines.join(frequent, "hash", "left")
         .groupBy(F.col("doc_id").alias("_id"), F.col("version").alias("_version"))

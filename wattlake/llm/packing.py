@@ -135,7 +135,7 @@ def _tokenized(documents: DataFrame, path: str, capacity: int, end_id: int) -> D
         press = zstandard.ZstdCompressor(1)
         code = encoder(path)
         for batch in batches:
-            for some in slices(batch, "text"):
+            for some in slices(batch, "text", 1 << 20):
                 ids, where = code(some.column("text"))
                 size = np.diff(where) + 1
                 rest, pieces = size % capacity, size // capacity

@@ -14,9 +14,9 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wattlake.llm.shared import SPACE, WORD, register, table
+from wattlake.llm.shared import SPACE, WORD, hash_sample, register, table
 
-#: Labelled rows the model is fitted on at most, chosen by a hash of their id.
+#: Labelled rows the model is fitted on, about, at most; chosen by a hash of their id.
 SAMPLE = 20_000
 #: One of so many folds is held out, the one with remainder 0.
 FOLDS = 5
@@ -160,17 +160,18 @@ def fit_rules(values: np.ndarray, labels: np.ndarray, trees: int = TREES, depth:
 
 
 def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE, label: str = "quality") -> RuleModel:
-    """The model of the labelled rows outside the held-out fold, ``sample`` of them at most.
+    """The model of the labelled rows outside the held-out fold, about ``sample`` of them at most.
 
     Rows without a label or whose doc_id is in no document teach nothing.  Of a repeated doc_id every
     pair of rows counts.  Only statistics of the text are looked at."""
     chosen = labels.where(F.col(label).isin(0, 1) & ~held_out(F.col("doc_id"))).select(F.col("doc_id").alias("_id"), F.col(label).alias("_label"))
-    chosen = chosen.orderBy(F.xxhash64("_id"), "_id", "_label").limit(sample)
+    chosen = hash_sample(chosen, ["_id"], sample)
     stats = statistics(F.col("text"))
     rows = (
-        documents.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))  # `sample` rows of two numbers
-        .select("_id", "_label", *[stats[n].alias(n) for n in NAMES]).orderBy("_id", "_label", *NAMES).limit(2 * sample).collect()
+        documents.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))  # about `sample` rows of two numbers
+        .select("_id", "_label", *[stats[n].alias(n) for n in NAMES]).limit(4 * sample).collect()  # a doc_id may be repeated
     )
+    rows.sort()
     values = np.array([[r[n] for n in NAMES] for r in rows], np.float64).reshape(-1, len(NAMES))
     return fit_rules(values, np.array([r["_label"] for r in rows]))
 

@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from wattlake.session import work_path
 
@@ -42,3 +43,9 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark, path = df.sparkSession, new_path(df.sparkSession, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def hash_sample(df: DataFrame, columns: list[str], rows: int) -> DataFrame:
+    """About ``rows`` rows of ``df`` (all, if it has no more), chosen by a hash of ``columns``."""
+    count, parts = df.count(), 1 << 40
+    return df if count <= rows else df.where(F.pmod(F.xxhash64(*columns), F.lit(parts)) < rows * parts // count)

@@ -19,7 +19,7 @@ from wattlake.llm.text import Hasher, buffers, spaces
 
 class Encoder:
     #: Stretches remembered by one worker process; beyond that it starts anew.
-    REMEMBERED = 600_000
+    REMEMBERED = 400_000
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer

@@ -14,7 +14,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattlake.llm.shared import new_path, register, stored, table
+from wattlake.llm.shared import hash_sample, new_path, register, stored, table
 
 #: Fixed values of the format.
 DICTIONARY_FRAME = 0x184D2A5D
@@ -23,7 +23,7 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-dig
 MIN_PAYLOAD = 0
 #: A new archive file begins behind so many compressed bytes.
 FILE_BYTES = 16 << 20
-#: The dictionary is built from so many records at most, of so many bytes at most each.
+#: The dictionary is built from about so many records, of so many bytes at most each.
 SAMPLE_RECORDS, SAMPLE_BYTES = 1000, 16 << 10
 DICTIONARY_BYTES = 64 << 10
 DATE = "1970-01-01T00:00:00Z"
@@ -99,8 +99,9 @@ def write_archives(pages: DataFrame, path: str, min_payload: int = MIN_PAYLOAD,
     html = F.coalesce("html", F.lit(""))
     keyed = pages.select("page_id", "url", html.alias("html"), F.sha1(html.cast("binary")).alias("sha"), F.octet_length(html).alias("bytes"))
     firsts = keyed.where(F.col("bytes") >= min_payload).groupBy(F.col("sha").alias("of"), F.col("bytes").alias("size")).agg(F.min("page_id").alias("first"))
-    sample = keyed.orderBy(F.xxhash64("page_id", "sha")).limit(SAMPLE_RECORDS)
-    rows = sample.select("page_id", "url", F.encode(F.col("html"), "UTF-8").substr(1, SAMPLE_BYTES).alias("html"), "sha").collect()  # bounded
+    sample = hash_sample(pages, ["page_id"], SAMPLE_RECORDS)
+    sample = sample.select("page_id", "url", html.alias("html"), F.sha1(html.cast("binary")).alias("sha"))
+    rows = sample.limit(2 * SAMPLE_RECORDS).select("page_id", "url", F.encode(F.col("html"), "UTF-8").substr(1, SAMPLE_BYTES).alias("html"), "sha").collect()  # bounded
     b32 = lambda sha: base64.b32encode(bytes.fromhex(sha)).decode()
     dictionary = train_dictionary([record(r.page_id, r.url, bytes(r.html), b32(r.sha)) for r in rows])
 

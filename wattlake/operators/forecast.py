@@ -12,8 +12,6 @@ from pyspark.sql import functions as F
 from wattlake.functions.times import floor_hour
 
 HORIZON = 6
-MIN_HOURS = 6
-MOVING_HOURS = 3
 
 
 def hourly_series(df: DataFrame) -> DataFrame:
@@ -28,17 +26,18 @@ def _steps() -> Column:
     return F.explode(F.sequence(F.lit(1), F.lit(HORIZON)))
 
 
-def linear_forecast(hourly: DataFrame, value: str, upper: float | None = None) -> DataFrame:
+def linear_forecast(hourly: DataFrame, value: str, upper: float | None = None, min_hours: int = 6) -> DataFrame:
     """(step, forecast_hour, forecast): least squares on the position of each hour, next six hours.
 
-    Values are clipped to 0 and, if given, ``upper``.  Fewer than six hours give no rows.
+    Values are clipped to 0 and, if given, ``upper``.  Fewer than ``min_hours`` hours give no
+    rows: too few points for a line.
     """
     position = F.row_number().over(Window.orderBy("hour")) - 1
     indexed = hourly.select("hour", F.col(value).alias("y"), position.cast("double").alias("x"))
     line = indexed.agg(
         F.count(F.lit(1)).alias("n"), F.max("hour").alias("last_hour"),
         F.regr_slope("y", "x").alias("slope"), F.regr_intercept("y", "x").alias("intercept"),
-    ).filter(F.col("n") >= MIN_HOURS)
+    ).filter(F.col("n") >= min_hours)
     steps = line.select("*", _steps().alias("step"))
     estimate = F.greatest(F.col("intercept") + F.col("slope") * (F.col("n") - 1 + F.col("step")), F.lit(0.0))
     if upper is not None:
@@ -63,15 +62,18 @@ def forecast_report(df: DataFrame) -> DataFrame:
     ])
 
 
-def moving_average_forecast(energy_by_hour: DataFrame) -> DataFrame:
-    """Mean of the last three hours of day, carried six hours ahead; hours wrap after 23."""
+def moving_average_forecast(energy_by_hour: DataFrame, moving_hours: int = 3) -> DataFrame:
+    """Mean of the last ``moving_hours`` hours of day, carried six hours ahead; hours wrap after 23.
+
+    With fewer hours there is no such mean and no row.
+    """
     order = Window.orderBy(F.desc("hour_of_day"))
-    last = energy_by_hour.withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= MOVING_HOURS)
+    last = energy_by_hour.withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= moving_hours)
     facts = last.agg(
         F.count(F.lit(1)).alias("n"), F.max("hour_of_day").alias("last_hour"),
         F.avg("avg_energy_generated_mwh").alias("generation_forecast"),
         F.avg("avg_energy_consumed_mwh").alias("consumption_forecast"),
-    ).filter(F.col("n") == MOVING_HOURS)
+    ).filter(F.col("n") == moving_hours)
     steps = facts.select("*", _steps().alias("step"))
     return steps.select(
         "step", ((F.col("last_hour") + F.col("step")) % 24).alias("hour_of_day"),

@@ -20,9 +20,10 @@ def smallest_hashes(df: DataFrame, n: int, seed: int = SEED) -> DataFrame:
 
     A plain top-n would send ``n`` rows of every input partition to one task.  Here the
     rows are counted per hash slice first (a million small counts at most); only slices up
-    to the one holding the n-th row go on, about ``n`` rows plus a millionth of the data.
+    to the one holding the n-th row go on, about ``n`` rows plus a millionth of the data,
+    provided that event ids are distinct (rows after ``dedup``).  A null id counts as an empty one.
     """
-    hashed = df.withColumn("_order", sample_order(F.col("event_id"), seed))
+    hashed = df.withColumn("_order", sample_order(F.coalesce("event_id", F.lit("")), seed))
     slice_ = hash_slice(F.col("_order"))
     counted = hashed.groupBy(slice_.alias("slice")).agg(F.count(F.lit(1)).alias("c"))
     before = F.sum("c").over(Window.orderBy("slice")) - F.col("c")

@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from wattlake.functions.picks import hash32
 from wattlake.functions.rounding import round_stable
 from wattlake.functions.times import floor_hour, hours
+from wattlake.operators.sampling import smallest_hashes
 
 TREND_LIMIT = 50.0
-MIN_ROWS = 10
 
 
 def _narrow(rows: DataFrame, key: Column, name: str) -> DataFrame:
@@ -41,12 +41,14 @@ def rank_boundary(df: DataFrame, target: Callable[[Column], Column]) -> DataFram
 
     Rows are ranked by time, then by a hash of the event id, then by the id.  No global
     sort and no single-task ranking is needed: the boundary is found by counting rows per
-    hour, then per timestamp inside that hour, then per hash slice among the rows sharing
-    that timestamp, and only that slice is ordered.  Even when a third of all rows share
-    one timestamp the ordered slice is about a millionth of them.
+    hour, per second inside that hour (3,600 at most), per microsecond inside that second (a
+    million at most), then per hash slice among the rows sharing that timestamp (a million at
+    most), and only that slice is ordered.  Even when a third of all rows share one timestamp
+    the ordered slice is about a millionth of them, provided that event ids are distinct (rows
+    after ``dedup``).  A null id counts as an empty one.
     """
     ts = F.col("timestamp")
-    keyed = df.select("timestamp", "event_id").filter(ts.isNotNull())
+    keyed = df.select("timestamp", _id().alias("event_id")).filter(ts.isNotNull())
     per_hour = keyed.groupBy(floor_hour(ts).alias("_hour")).agg(F.count(F.lit(1)).alias("n"))
     everything = F.sum("n").over(Window.partitionBy())
     per_hour = per_hour.select(
@@ -54,7 +56,11 @@ def rank_boundary(df: DataFrame, target: Callable[[Column], Column]) -> DataFram
     )
     hour = _holding_rank(per_hour, ["_target"], "_hour")
     in_hour = keyed.crossJoin(F.broadcast(hour)).filter((ts >= F.col("_hour")) & (ts < F.col("_hour") + hours(1)))
-    stamp = _narrow(in_hour, ts, "_stamp")
+    second = _narrow(in_hour, F.date_trunc("second", ts).cast("timestamp_ntz"), "_second")
+    in_second = keyed.crossJoin(F.broadcast(second)).filter(
+        (ts >= F.col("_second")) & (ts < F.col("_second") + F.make_dt_interval(secs=F.lit(1)))
+    )
+    stamp = _narrow(in_second, ts, "_stamp")
     part = _narrow(keyed.join(F.broadcast(stamp), ts == F.col("_stamp")), _slice(), "_part")
     tied = keyed.join(F.broadcast(part), (ts == F.col("_stamp")) & (_slice() == F.col("_part")))
     rank = F.col("_before") + F.row_number().over(Window.orderBy("event_id")) - 1
@@ -63,14 +69,18 @@ def rank_boundary(df: DataFrame, target: Callable[[Column], Column]) -> DataFram
     )
 
 
+def _id() -> Column:
+    return F.coalesce(F.col("event_id"), F.lit(""))
+
+
 def _slice() -> Column:
-    return F.shiftright(hash32(F.col("event_id")), 12)
+    return F.shiftright(hash32(_id()), 12)
 
 
 def _at_or_after() -> Column:
     """Condition on rows joined with the one row of ``rank_boundary``."""
     ts, part = F.col("timestamp"), _slice()
-    tie = (part > F.col("_part")) | ((part == F.col("_part")) & (F.col("event_id") >= F.col("_event")))
+    tie = (part > F.col("_part")) | ((part == F.col("_part")) & (_id() >= F.col("_event")))
     return (ts > F.col("_stamp")) | ((ts == F.col("_stamp")) & tie)
 
 
@@ -86,9 +96,17 @@ def mark_recent(df: DataFrame, share: float = 0.8) -> DataFrame:
 
 
 def newest(df: DataFrame, n: int = 50000) -> DataFrame:
-    """The ``n`` newest rows, found by their boundary and not by a top-n through one task."""
+    """The ``n`` newest rows, found by their boundary and not by a top-n through one task.
+
+    Rows without a timestamp come last: they fill up what is left of ``n``, in hash order.
+    """
     boundary = rank_boundary(df, lambda total: F.greatest(total - n, F.lit(0)))
-    return df.crossJoin(F.broadcast(boundary)).filter(_at_or_after()).select(*df.columns)
+    dated = df.crossJoin(F.broadcast(boundary)).filter(_at_or_after()).select(*df.columns)
+    room = F.lit(n) - df.filter(F.col("timestamp").isNotNull()).agg(F.count(F.lit(1))).scalar()
+    undated = smallest_hashes(df.filter(F.col("timestamp").isNull()), n)
+    rank = F.row_number().over(Window.orderBy("_order", "event_id"))  # n rows at most
+    filling = undated.withColumn("_rank", rank).filter(F.col("_rank") <= room)
+    return dated.unionByName(filling.select(*df.columns))
 
 
 def percent_change(recent: Column, earlier: Column, limit: float | None = TREND_LIMIT) -> Column:
@@ -121,8 +139,8 @@ def split_metrics(marked: DataFrame) -> DataFrame:
     return per_transformer.agg(*[F.sum(c).alias(c) for c in per_transformer.columns if c not in skip])
 
 
-def trends(df: DataFrame) -> DataFrame:
-    """One row of six percentage trends; all 0 below ten rows."""
+def trends(df: DataFrame, min_rows: int = 10) -> DataFrame:
+    """One row of six percentage trends; all 0 below ``min_rows`` rows, too few to compare."""
     facts = split_metrics(mark_recent(df))
 
     def mean(value: str, side: str) -> Column:
@@ -144,7 +162,7 @@ def trends(df: DataFrame) -> DataFrame:
         "fault_trend": trend_of_sum("fault_indicator"),
         "anomaly_trend": trend_of_sum("anomaly_flag"),
     }
-    enough = F.coalesce(F.col("n"), F.lit(0)) >= MIN_ROWS
+    enough = F.coalesce(F.col("n"), F.lit(0)) >= min_rows
     return facts.select(*[F.when(enough, v).otherwise(0.0).alias(k) for k, v in values.items()])
 
 

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import logging
 import tempfile
 
 from pyspark.sql import SparkSession
 
 
 #: The JVM never compiles a method above 8000 bytes of bytecode.  Wide projections (scores
-#: and labels of every reading) exceed that when fused into one method and then run about
-#: ten times slower, so such stages are generated per operator instead.
+#: and labels of every reading) exceed that when fused into one method and then run several
+#: times slower, so such stages are generated per operator instead.
 JIT_METHOD_LIMIT = "8000"
 
 
@@ -47,15 +48,17 @@ def shared_root(spark: SparkSession) -> str:
     """Folder all executors can read, taken from ``spark.checkpoint.dir``.
 
     A local master has one machine, so there an unset value falls back to a fresh
-    temporary folder.  On a cluster an unset value is an error: a machine-local folder
-    would be lost with its machine.
+    temporary folder, which is logged.  On a cluster an unset value is an error: a
+    machine-local folder would be lost with its machine.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="wattlake-"))
+    folder = tempfile.mkdtemp(prefix="wattlake-")
+    logging.getLogger(__name__).warning("spark.checkpoint.dir is unset; intermediates go to %s", folder)
+    spark.sparkContext.setCheckpointDir(folder)
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
 from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wattlake.functions.rounding import round_half_even
-from wattlake.schema import NOMINAL_FREQUENCY_HZ, NOMINAL_VOLTAGE_KV, NORMAL
+from wattlake.schema import NOMINAL_FREQUENCY_HZ, NOMINAL_VOLTAGE_KV, NORMAL, SILVER_SCHEMA
 
 
 def verify_counts(tables: dict[str, DataFrame]) -> DataFrame:
@@ -21,10 +23,15 @@ def verify_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, counted)
 
 
-def export_csv(tables: dict[str, DataFrame], folder: str) -> None:
-    """One headered CSV file per table; meant for summaries, which have a row per group."""
+def export_csv(tables: dict[str, DataFrame], folder: str, single_file: Collection[str] = ()) -> None:
+    """Headered CSV files per table, as many as the table needs.
+
+    Tables named in ``single_file`` get one file; only those whose rows are bounded (a row per
+    region, hour, day, status or anomaly type) should be.
+    """
     for name, df in tables.items():
-        df.coalesce(1).write.mode("overwrite").option("header", True).csv(f"{folder}/{name}")
+        out = df.coalesce(1) if name in single_file else df
+        out.write.mode("overwrite").option("header", True).csv(f"{folder}/{name}")
 
 
 def write_json(df: DataFrame, path: str) -> None:
@@ -43,17 +50,25 @@ def complete_silver(df: DataFrame) -> DataFrame:
     return df.withColumns(added) if added else df
 
 
+def _silver_csv(spark: SparkSession, path: str) -> DataFrame:
+    """A headered CSV whose columns have the declared silver types; only its first line is read twice."""
+    names = spark.read.option("header", True).csv(path).columns
+    types = {f.name: f for f in SILVER_SCHEMA}
+    schema = T.StructType([types.get(n, T.StructField(n, T.StringType())) for n in names])
+    return spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(path)
+
+
 def load_silver(spark: SparkSession, candidates: list[str]) -> DataFrame:
-    """The first readable table among the candidates (folders ending in csv are CSV)."""
+    """The first existing table among the candidates (folders ending in csv are CSV).
+
+    Only a missing path moves on to the next candidate; a table that can't be read is an error.
+    """
     for path in candidates:
         try:
-            if path.rstrip("/").endswith("csv"):
-                df = spark.read.option("header", True).option("inferSchema", True).csv(path)
-            else:
-                df = spark.read.parquet(path)
-            return complete_silver(df)
-        except AnalysisException:
-            continue
+            return complete_silver(_silver_csv(spark, path) if path.rstrip("/").endswith("csv") else spark.read.parquet(path))
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
     raise FileNotFoundError(f"no silver table among {candidates}")
 
 

@@ -35,8 +35,11 @@ def validate_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def to_timestamp_lenient(text: Column) -> Column:
-    """ISO or blank-separated date-time, with or without fractions; unreadable text becomes null."""
-    return F.try_to_timestamp(text).cast("timestamp_ntz")
+    """ISO or blank-separated date-time, with or without fractions; unreadable text becomes null.
+
+    The wall time of the text, whatever the session's zone; an offset in the text is dropped.
+    """
+    return text.try_cast("timestamp_ntz")
 
 
 def parse_timestamp(df: DataFrame, column: str = "timestamp") -> DataFrame:

@@ -23,17 +23,28 @@ SINK_COLUMNS = ["event_id", "ts"] + [c for c in STREAM_COLUMNS if c not in ("eve
 FRESH_SECONDS = 30
 
 
-def read_stream(spark: SparkSession, events_dir: str, max_files: int = 10) -> DataFrame:
+def read_stream(spark: SparkSession, events_dir: str, max_files: int = 10, skip_damaged: bool = False) -> DataFrame:
     """JSON lines with the declared schema; an unparsable line keeps its text in one column.
 
+    A damaged file, for example a truncated gzip, fails the query, so nothing is lost unseen.
+    ``skip_damaged`` goes on with what could be read of it; ``lines_by_file`` then shows what that was.
+
     Lines are read as text and parsed as a whole.  The JSON source would parse only the
     columns a query uses, and two queries on the same files could then disagree on which
     lines are good.
     """
-    lines = (
-        spark.readStream.option("maxFilesPerTrigger", max_files).option("ignoreCorruptFiles", "true").text(events_dir)
+    reader = spark.readStream.option("maxFilesPerTrigger", max_files).option("ignoreCorruptFiles", skip_damaged)
+    return parse_lines(reader.text(events_dir))
+
+
+def lines_by_file(spark: SparkSession, events_dir: str) -> DataFrame:
+    """(file, size, lines): the lines readable in each file, damaged ones included up to the damage."""
+    files = spark.read.format("binaryFile").load(events_dir).select(F.col("path").alias("file"), F.col("length").alias("size"))
+    text = spark.read.option("ignoreCorruptFiles", True).text(events_dir)
+    read = text.groupBy(F.col("_metadata.file_path").alias("_file")).agg(F.count(F.lit(1)).alias("lines"))
+    return files.join(read, F.regexp_replace("file", "^file:/+", "/") == F.regexp_replace("_file", "^file:/+", "/"), "left").select(
+        "file", "size", F.coalesce("lines", F.lit(0)).alias("lines")
     )
-    return parse_lines(lines)
 
 
 def parse_lines(lines: DataFrame) -> DataFrame:
@@ -105,16 +116,19 @@ def write_stream(
 
 def ingest(
     spark: SparkSession, events_dir: str, sink: str, checkpoint: str, interval: str | None = "5 seconds",
-    max_files: int = 10,
+    max_files: int = 10, skip_damaged: bool = False,
 ) -> StreamingQuery:
-    return write_stream(enrich(readable(read_stream(spark, events_dir, max_files))), sink, checkpoint, interval)
+    events = read_stream(spark, events_dir, max_files, skip_damaged)
+    return write_stream(enrich(readable(events)), sink, checkpoint, interval)
 
 
 def quarantine(
-    spark: SparkSession, events_dir: str, path: str, checkpoint: str, interval: str | None = "5 seconds"
+    spark: SparkSession, events_dir: str, path: str, checkpoint: str, interval: str | None = "5 seconds",
+    max_files: int = 10, skip_damaged: bool = False,
 ) -> StreamingQuery:
     """A second query on the same files that keeps the lines ``ingest`` skips."""
-    return write_stream(unreadable(read_stream(spark, events_dir)), path, checkpoint, interval, "json")
+    events = read_stream(spark, events_dir, max_files, skip_damaged)
+    return write_stream(unreadable(events), path, checkpoint, interval, "json")
 
 
 def drain(spark: SparkSession, events_dir: str, sink: str, checkpoint: str, max_files: int = 10) -> DataFrame:
@@ -141,7 +155,8 @@ def totals(events: DataFrame) -> DataFrame:
 
 
 def run_totals(
-    spark: SparkSession, events_dir: str, path: str, checkpoint: str, interval: str | None = "5 seconds"
+    spark: SparkSession, events_dir: str, path: str, checkpoint: str, interval: str | None = "5 seconds",
+    max_files: int = 10, skip_damaged: bool = False,
 ) -> StreamingQuery:
     """Keep the running totals in a one-row table, rewritten after every micro-batch.
 
@@ -151,7 +166,7 @@ def run_totals(
     def rewrite(batch: DataFrame, _: int) -> None:
         batch.coalesce(1).write.mode("overwrite").parquet(path)
 
-    writer = totals(read_stream(spark, events_dir)).writeStream.outputMode("complete").option(
+    writer = totals(read_stream(spark, events_dir, max_files, skip_damaged)).writeStream.outputMode("complete").option(
         "checkpointLocation", checkpoint
     )
     trigger = {"availableNow": True} if interval is None else {"processingTime": interval}

@@ -103,3 +103,24 @@ def test_timestamps_that_cannot_be_read_become_null(spark):
     df = spark.createDataFrame([("2025-04-01 10:00:00",), ("2025-04-01T10:00:00.5",), ("soon",)], "timestamp string")
     got = [r[0] for r in parse_timestamp(df).collect()]
     assert got[0].hour == 10 and got[1].microsecond == 500000 and got[2] is None
+
+
+def test_brackets_stay_small_on_skewed_values(spark):
+    from wattlake.operators.quantiles import MOST, bracket_values, brackets
+
+    n = 120_000
+    df = spark.range(n).select(
+        F.exp(F.randn(3) * 3).alias("lognormal"),
+        F.when(F.col("id") == 7, 1e15).when(F.col("id") == 8, -1e300).otherwise(F.rand(4)).alias("outliers"),
+        F.when(F.col("id") % 3 == 0, float("inf")).otherwise(F.rand(5)).alias("infinite"),
+        F.when(F.col("id") % 2 == 0, 1.0).otherwise(2.0).alias("two"),
+        F.when(F.col("id") % 10 == 0, F.lit(None).cast("double")).when(F.col("id") % 10 == 1, float("nan")).otherwise(F.col("id") * 0.5).alias("gaps"),
+    ).persist()
+    names = df.columns
+    for fraction in (0.5, 0.88, 0.0, 1.0):
+        exact = df.select(*[F.expr(f"percentile(CASE WHEN NOT isnan({c}) THEN {c} END, {fraction})").alias(c) for c in names]).first()
+        assert tuple(exact_quantiles(df, names, fraction).first()) == pytest.approx(tuple(exact), rel=1e-12)
+        found = brackets(df, names, fraction)
+        ranked = bracket_values(df, found).groupBy("name").count().collect()
+        assert all(r["count"] <= MOST for r in ranked)
+    df.unpersist()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from wattlake.functions.bands import four_band, health_band, load_bucket, temper
 from wattlake.operators.rollup import avg, distinct, low, peak, rollup, rows, rows_where, total
 from wattlake.operators.trends import day_over_previous
 from wattlake.schema import NORMAL, STATUSES, SUBSTATION_KEYS, TRANSFORMER_KEYS
+from wattlake.session import work_path
 
 RISKY = 50
 SAFE_TEMPERATURE_C = 85
@@ -85,7 +88,8 @@ def transformer_health(df: DataFrame) -> DataFrame:
     """35 aggregates per transformer and four partial scores adding up to 0-100.
 
     Partial scores compare with the highest fault count and deviations of all
-    transformers: a one-row aggregate of the per-transformer table, broadcast back.
+    transformers.  The per-transformer table (a row each) is written to the shared folder
+    when this is called, so the readings are grouped once and both uses read that table.
     """
     c = F.col
     per = df.groupBy(*TRANSFORMER_KEYS).agg(
@@ -112,7 +116,10 @@ def transformer_health(df: DataFrame) -> DataFrame:
         F.count_distinct(F.when(c("anomaly_type") != NORMAL, c("anomaly_type"))).alias("distinct_anomaly_types"),
         F.max("timestamp").alias("last_seen"), F.min("timestamp").alias("first_seen"),
     )
-    per = per.na.fill(0)
+    spark, per = df.sparkSession, per.na.fill(0)
+    path = work_path(spark, "transformer-health", uuid.uuid4().hex)
+    per.write.parquet(path)
+    per = spark.read.schema(per.schema).parquet(path)
     tops = per.agg(
         F.max("fault_count").alias("_faults"), F.max("voltage_std").alias("_vstd"), F.max("freq_std").alias("_fstd")
     )

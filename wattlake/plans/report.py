@@ -51,4 +51,5 @@ def build_gold(silver: DataFrame, folder: str, csv_folder: str | None = None) ->
     for name, table in tables.items():
         write_layer(table, f"{folder}/{name}")
     if csv_folder is not None:
-        export_csv({n: spark.read.parquet(f"{folder}/{n}") for n in gold.GOLD_TABLES}, csv_folder)
+        bounded = ["region_summary", "hourly_summary", "daily_summary", "anomaly_summary", "severity_summary"]
+        export_csv({n: spark.read.parquet(f"{folder}/{n}") for n in gold.GOLD_TABLES}, csv_folder, bounded)

@@ -44,6 +44,10 @@ register("a34_health_donut_by_transformer", on_silver(f"""SELECT count(*) FILTER
     count(*) FILTER (p = 4) AS critical_count, count(*) FILTER (p <> 1) AS total
     FROM {_WORST.format(src='sel')}""", selection(n_hours=24)))(
     lambda df: dashboard.health_donut_by_transformer(filters.newest_within(df, 24)))
+register("a34_health_donut_all_rows", on_silver(f"""SELECT count(*) FILTER (p = 0) AS normal_count,
+    count(*) FILTER (p = 2) AS warning_count, count(*) FILTER (p = 3) AS high_risk_count,
+    count(*) FILTER (p = 4) AS critical_count, count(*) FILTER (p <> 1) AS total
+    FROM {_WORST.format(src='silver')}"""))(dashboard.health_donut_by_transformer)
 register("a35_health_donut_by_record", on_silver("""SELECT count(*) FILTER (status IN ('Normal', 'Low')) AS normal_count,
     count(*) FILTER (status = 'Warning') AS warning_count, count(*) FILTER (status = 'High Risk') AS high_risk_count,
     count(*) FILTER (status = 'Critical') AS critical_count, count(*) AS total FROM silver"""))(

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.base import on_silver, register, rs, selection, silver, work
+from catalog.base import ORACLE, on_silver, register, rs, selection, silver, work
 from catalog.gold import _SEVERITY, FAULTS
-from wattlake.operators import health
+from wattlake.operators import gold, health
 from wattlake.operators.filters import FilterSpec
 from wattlake.plans import report
 from wattlake.sources import layers
@@ -32,6 +32,21 @@ def _(spark, sf_dir):
     return spark.read.schema(schema).option("header", True).csv(f"{folder}_csv/severity_summary")
 
 
+# every table of the export and of the written layer, whole
+for _table in gold.GOLD_TABLES:
+    _twin = next(sql for name, sql in ORACLE.items() if name.startswith("a0") and name.endswith(f"_{_table}"))
+
+    @register(f"s06_exported_{_table}", _twin, source="none")
+    def _(spark, sf_dir, table=_table):
+        folder = gold_folder(spark, sf_dir)
+        schema = spark.read.parquet(f"{folder}/{table}").schema
+        return spark.read.schema(schema).option("header", True).csv(f"{folder}_csv/{table}")
+
+    @register(f"s13_loaded_{_table}", _twin, source="none")
+    def _(spark, sf_dir, table=_table):
+        return layers.load_summary(spark, gold_folder(spark, sf_dir), table)
+
+
 @register("s10_load_silver", on_silver("SELECT event_id, voltage_deviation_kv, frequency_deviation_hz, anomaly_flag FROM silver"),
           source="none")
 def _(spark, sf_dir):

@@ -75,6 +75,64 @@ def _(spark, sf_dir):
     return isolation.score_statistics(detected(spark, sf_dir))
 
 
+# --- facts about the forest that SQL can state --------------------------------------------------
+@register("ml3_forest_facts", """SELECT CAST(t AS INTEGER) AS tree, TRUE AS odd_nodes, TRUE AS leaves_fit, TRUE AS all_reached,
+    TRUE AS paths_fit FROM range(200) r(t)""", source="none")
+def _(spark, sf_dir):
+    """Per tree: an odd number of nodes, one leaf more than inner nodes, every node reached from the root in at
+    most 8 steps, and no leaf's path shorter than its depth."""
+    detected(spark, sf_dir)
+    nodes = spark.read.parquet(work(spark, sf_dir, "forest/model/nodes"))
+    level = nodes.where("node = 0").select("tree", "node", F.lit(0).alias("depth"))
+    reached = level
+    for depth in range(1, 9):
+        inner = nodes.where("feature >= 0").join(level, ["tree", "node"])
+        level = inner.select("tree", F.explode(F.array("left", "right")).alias("node"), F.lit(depth).alias("depth"))
+        reached = reached.union(level)
+    leaf = F.col("feature") < 0
+    return nodes.join(reached, ["tree", "node"], "left").groupBy("tree").agg(
+        (F.count(F.lit(1)) % 2 == 1).alias("odd_nodes"),
+        (F.count_if(leaf) == F.count_if(~leaf) + 1).alias("leaves_fit"),
+        ((F.count("depth") == F.count(F.lit(1))) & (F.count("depth") == F.count_distinct("node"))).alias("all_reached"),
+        F.bool_and(~leaf | (F.col("path") >= F.col("depth"))).alias("paths_fit"),
+    )
+
+
+@register("ml4_score_facts", on_silver("""SELECT count(*) AS scored, count(DISTINCT event_id) AS events, TRUE AS in_range,
+    TRUE AS share_fits FROM silver"""), source="none")
+def _(spark, sf_dir):
+    """Every event scored once, scores from 0 to 1, and a share of 0.12 flagged but for ties at the cut."""
+    rows = detected(spark, sf_dir)
+    flagged, score = F.col("anomaly_flag") == 1, F.col("anomaly_score_ml")
+    facts = rows.agg(
+        F.count(F.lit(1)).alias("scored"), F.count_distinct("event_id").alias("events"), F.count_if(flagged).alias("flagged"),
+        F.coalesce(F.bool_and(score.between(0, 1)), F.lit(True)).alias("in_range"), F.max(F.when(~flagged, score)).alias("below"),
+    )
+    ties = rows.crossJoin(F.broadcast(facts.select("below"))).agg(F.count_if(score == F.col("below")).alias("ties"))
+    share = F.col("flagged").between(F.col("scored") * 0.12 - F.col("ties") - 1, F.col("scored") * 0.12 + 1)
+    return facts.crossJoin(F.broadcast(ties)).select("scored", "events", "in_range", share.alias("share_fits"))
+
+
+@register("ml8_loaded_equals_fitted", on_silver("SELECT count(*) AS compared, 0 AS differences FROM silver"), source="none")
+def _(spark, sf_dir):
+    fitted = detected(spark, sf_dir).select("event_id", F.col("anomaly_score_ml").alias("a"), F.col("anomaly_flag").alias("f"))
+    forest = isolation.load(spark, work(spark, sf_dir, "forest/model"))
+    loaded = isolation.flag_scores(isolation.score_rows(silver(spark, sf_dir), forest)).select("event_id", "anomaly_score_ml", "anomaly_flag")
+    same = F.col("a").eqNullSafe(F.col("anomaly_score_ml")) & F.col("f").eqNullSafe(F.col("anomaly_flag"))
+    return loaded.join(fitted, "event_id").agg(F.count(F.lit(1)).alias("compared"), F.count_if(~same).cast("int").alias("differences"))
+
+
+@register("a29_a30_counts_add_up", on_silver("SELECT count(*) AS in_all, TRUE AS flagged_fit FROM silver"), source="none")
+def _(spark, sf_dir):
+    """The severity table counts every row, the anomaly table every flagged one."""
+    rows = detected(spark, sf_dir)
+    flagged = rows.agg(F.count_if(F.col("anomaly_flag") == 1).alias("flagged"))
+    anomalies = isolation.anomaly_report(rows).agg(F.coalesce(F.sum("count"), F.lit(0)).alias("anomalies"))
+    severities = isolation.severity_report(rows).agg(F.sum("count").alias("in_all"))
+    both = severities.crossJoin(F.broadcast(flagged)).crossJoin(F.broadcast(anomalies))
+    return both.select("in_all", (F.col("flagged") == F.col("anomalies")).alias("flagged_fit"))
+
+
 # --- the same steps on scores both engines know -----------------------------------------------
 _GIVEN = f"""g AS (SELECT *, risk_score / 128e0 + anomaly_score / 16e0 AS iso FROM silver),
 ge AS (SELECT quantile_cont(iso, 1 - 12e-2) AS cut, min(iso) AS lo, max(iso) AS hi FROM g),

@@ -134,6 +134,9 @@ register("a14_energy_by_hour_24h", on_silver(_H4.format(src="sel"), selection(n_
 register("a14_energy_totals", on_silver(
     f"""SELECT {rs('sum(energy_generated_mwh)', 1)} AS total_generated, {rs('sum(energy_consumed_mwh)', 1)} AS total_consumed
       FROM sel""", selection(n_hours=24)))(lambda df: service.energy_totals(df, FilterSpec(time_range="24h")))
+register("a14_energy_totals_all_rows", on_silver(
+    f"""SELECT {rs('sum(energy_generated_mwh)', 1)} AS total_generated, {rs('sum(energy_consumed_mwh)', 1)} AS total_consumed
+      FROM silver"""))(service.energy_totals)
 _ST = ["Normal", "Low", "Warning", "High Risk", "Critical"]
 _COUNTS = ", ".join(
     f"count(*) FILTER (status = '{s}') AS {s.lower().replace(' ', '_')}_count" for s in _ST)
@@ -170,6 +173,8 @@ register("a17_grid_health_no_rows", on_silver(_HEALTH, selection("region = 'Atla
 register("a18_transformer_counts", on_silver(f"SELECT {_ACTIVE} FROM sel", ASIA_30D_SQL))(
     lambda df: service.transformer_counts(df, ASIA_30D))
 
+register("a18_transformer_counts_all_rows", on_silver(f"SELECT {_ACTIVE} FROM silver"))(service.transformer_counts)
+
 
 def _change(recent: str, earlier: str, limit: bool = True) -> str:
     ratio = f"({recent} - {earlier}) / nullif(abs({earlier}), 0) * 100"
@@ -204,6 +209,10 @@ register("w04_critical_transformer_trend", on_silver(
     "SELECT transformer_trend FROM tr", selection(n_hours=24) + ",\n" + TREND_CTES))(
     lambda df: trends.trends(filters.newest_within(df, 24)).select("transformer_trend"))
 
+register("w04_critical_transformer_trend_all_rows", on_silver(
+    "SELECT transformer_trend FROM tr", selection() + ",\n" + TREND_CTES))(
+    lambda df: trends.trends(df).select("transformer_trend"))
+
 _SUMMARY = f"""SELECT coalesce({rs('(SELECT sum(energy_generated_mwh) FROM sel)', 1)}, 0) AS total_generation_mw,
     coalesce({rs('(SELECT sum(energy_consumed_mwh) FROM sel)', 1)}, 0) AS total_consumption_mw,
     coalesce({rs('(SELECT avg(load_percent) FROM sel)', 1)}, 0) AS grid_load_percent, active_transformers,

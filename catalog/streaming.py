@@ -22,7 +22,7 @@ def events_dir(spark, sf_dir):
     if key not in _DONE:
         text = F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss")
         events = raw(spark, sf_dir).withColumns({"timestamp": text, "risk_score": F.lit(0)}).select(*STREAM_COLUMNS)
-        events.repartition(8).write.mode("overwrite").json(path)
+        events.write.mode("overwrite").json(path)
         _DONE.add(key)
     return path
 

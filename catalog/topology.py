@@ -60,6 +60,13 @@ register("a51_map_bounds", on_silver(f"""SELECT {four({
     'east': 'max(lon) + greatest((max(lon) - min(lon)) * 8e-2, 7e-1)'})}
     FROM vis JOIN dim USING (substation_id)""", DIM_CTES + ",\n" + _VIS.format(w="region = 'ASIA'")), digits=4)(
     lambda df: topology.map_bounds(df.filter("region = 'ASIA'"), _dim(df)))
+register("a51_map_bounds_all_rows", on_silver(f"""SELECT {four({
+    'south': 'min(lat) - greatest((max(lat) - min(lat)) * 8e-2, 7e-1)',
+    'west': 'min(lon) - greatest((max(lon) - min(lon)) * 8e-2, 7e-1)',
+    'north': 'max(lat) + greatest((max(lat) - min(lat)) * 8e-2, 7e-1)',
+    'east': 'max(lon) + greatest((max(lon) - min(lon)) * 8e-2, 7e-1)'})}
+    FROM vis JOIN dim USING (substation_id)""", DIM_CTES + ",\n" + _VIS.format(w="TRUE")), digits=4)(
+    lambda df: topology.map_bounds(df, _dim(df)))
 register("j05_referential_violations", on_silver("""SELECT substation_id, region, records,
     CASE WHEN dregion IS NULL THEN 'unknown substation' ELSE 'wrong region' END AS problem FROM (SELECT substation_id,
     region, count(*) AS records FROM silver GROUP BY 1, 2) LEFT JOIN dim USING (substation_id)
@@ -80,6 +87,17 @@ def _(spark, sf_dir):
         "transformer_id": derived.transformer_dimension(spark, sf_dir), "substation_id": grid, "region": grid})
 
 
+@register("j06_missing_members_all_rows", on_silver("""SELECT 'transformer_id' AS level,
+    'TR-' || lpad(CAST(s_suppkey AS VARCHAR), 6, '0') AS member FROM supplier WHERE 'TR-' || lpad(CAST(s_suppkey AS
+    VARCHAR), 6, '0') NOT IN (SELECT transformer_id FROM silver) UNION ALL SELECT 'substation_id', substation_id FROM dim
+    WHERE substation_id NOT IN (SELECT substation_id FROM silver)""", DIM_CTES), source="none")
+def _(spark, sf_dir):
+    """Suppliers without readings, and the fixed grid's substations that the readings lack."""
+    rows = silver(spark, sf_dir)
+    return topology.missing_members(rows, {
+        "transformer_id": derived.transformer_dimension(spark, sf_dir), "substation_id": _dim(rows)})
+
+
 @register("j07_enrich_parents", on_silver("""SELECT event_id, transformer_id, substation_id, region, power_mw FROM silver"""),
           source="none")
 def _(spark, sf_dir):
@@ -93,6 +111,10 @@ register("u03_set_difference", on_silver("""SELECT transformer_id FROM silver EX
     lambda df: topology.set_difference(
         df.select("transformer_id"),
         filters.newest_within(df, 24).filter("risk_score >= 85").select("transformer_id")))
+register("u03_set_difference_all_rows", on_silver("""SELECT transformer_id FROM silver EXCEPT
+    SELECT transformer_id FROM silver WHERE risk_score >= 85"""))(
+    lambda df: topology.set_difference(
+        df.select("transformer_id"), df.filter("risk_score >= 85").select("transformer_id")))
 register("s11_newest_rows", on_silver("""SELECT event_id, "timestamp", risk_score FROM silver
     ORDER BY "timestamp" DESC, """ + hash32("event_id") + """ // 4096 DESC, event_id DESC LIMIT 40000"""))(
     lambda df: trends.newest(df, 40000).select("event_id", "timestamp", "risk_score"))

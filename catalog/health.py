@@ -40,9 +40,8 @@ def _spread(prefix: str, expr_by_name: dict[str, str]) -> str:
 _NESTED = ("status_distribution", "load_distribution", "temperature_distribution")
 
 
-def _flat_metrics(df):
+def spread_metrics(metrics):
     """The metrics with their nested counts spread into columns."""
-    metrics = health.grid_health_metrics(df)
     plain = [c for c in metrics.columns if c not in _NESTED]
     spread = [metrics[n][f].alias(f"{n.split('_')[0]}_{f}") for n in _NESTED for f in metrics.schema[n].dataType.names]
     return metrics.select(*plain, *spread)
@@ -68,7 +67,8 @@ register("a19_grid_health_metrics", on_silver(f"""SELECT count(*) AS total_recor
               'high': 'load_percent >= 60 AND load_percent < 85', 'critical': 'load_percent >= 85'})},
     {_spread('temperature', {'normal': 'temperature_c < 50', 'elevated': 'temperature_c >= 50 AND temperature_c < 60',
               'high': 'temperature_c >= 60 AND temperature_c < 70', 'critical': 'temperature_c >= 70'})}, max("timestamp") AS latest_timestamp, min("timestamp") AS time_range_start
-    FROM silver""", _LAST), digits=4)(_flat_metrics)
+    FROM silver""", _LAST), digits=4)(
+    lambda df: spread_metrics(health.grid_health_metrics(df)))
 
 _TH = {
     "avg_load_percent": "avg(load_percent)", "max_load_percent": "max(load_percent)", "min_load_percent": "min(load_percent)",

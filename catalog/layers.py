@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from catalog.base import ORACLE, on_silver, register, rs, selection, silver, work
 from catalog.gold import _SEVERITY, FAULTS
+from catalog.health import spread_metrics
 from wattlake.operators import gold, health
 from wattlake.operators.filters import FilterSpec
 from wattlake.plans import report
@@ -67,6 +68,14 @@ def _(spark, sf_dir):
     return spark.read.schema("total_records bigint, total_faults bigint, avg_risk_score double").json(path)
 
 
+@register("s12_written_health_json_whole", ORACLE["a19_grid_health_metrics"], source="none", digits=4)
+def _(spark, sf_dir):
+    path = work(spark, sf_dir, "health_json_whole")
+    metrics = health.grid_health_metrics(silver(spark, sf_dir))
+    layers.write_json(metrics, path)
+    return spread_metrics(spark.read.schema(metrics.schema).json(path))
+
+
 @register("s13_load_summary", on_silver(_SEV), source="none")
 def _(spark, sf_dir):
     return layers.load_summary(spark, gold_folder(spark, sf_dir), "severity_summary")

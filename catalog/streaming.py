@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.base import on_raw, raw, register, work
+from catalog.base import QUERIES, on_raw, raw, register, work
 from catalog.scoring import LIVE_RISK, LIVE_STATUS, LIVE_TYPE, STREAM_RISK, stream_status_sql
 from catalog.topology import DIM_CTES
 from wattlake.operators import dashboard
@@ -79,6 +79,16 @@ def _(spark, sf_dir):
     return counts[0].unionByName(counts[1])
 
 
+@register("st3_quarantined_events", on_raw("""SELECT event_id, outage_duration_min > 0 AS bad_line FROM raw"""), source="none")
+def _(spark, sf_dir):
+    """Every event once, on the side it belongs to."""
+    folder = work(spark, sf_dir, "stream/mixed")
+    QUERIES["st3_quarantine_unreadable"](spark, sf_dir)
+    good = spark.read.parquet(f"{folder}/sink").select("event_id", F.lit(False).alias("bad_line"))
+    bad = spark.read.schema("line string").json(f"{folder}/bad")
+    return good.unionByName(bad.select(F.regexp_extract("line", '"event_id":"([^"]*)"', 1).alias("event_id"), F.lit(True).alias("bad_line")))
+
+
 @register("st4_running_totals", on_sink("""SELECT count(*) AS received, count(*) AS processed,
     count(*) FILTER (s <> 'Normal') AS anomalies, max("timestamp") AS last_ts FROM sk"""), source="none")
 def _(spark, sf_dir):
@@ -142,6 +152,31 @@ def _(spark, sf_dir):
         "event_id", "timestamp", "substation_id", "risk_score", "status", "anomaly_type", "message")
 
 
+_READ = ["region", "transformer_id", "voltage_kv", "current_amp", "power_mw", "frequency_hz", "load_percent", "power_factor",
+         "temperature_c", "fault_indicator", "anomaly_score"]
+
+
+@register("st8_live_scoring_whole", on_live(f"""SELECT event_id, "timestamp", substation_id, r AS risk_score, s AS status,
+    t AS anomaly_type, message, {', '.join(_READ)} FROM lm"""), source="none")
+def _(spark, sf_dir):
+    return _live(spark, sf_dir)
+
+
+@register("st7_heartbeat", on_sink("""SELECT count(*) AS events_generated, count(*) FILTER (s <> 'Normal') AS anomalies_detected,
+    TRUE AS online FROM sk"""), source="none")
+def _(spark, sf_dir):
+    """A heartbeat written from the counts of the readings, read five seconds later."""
+    path = work(spark, sf_dir, "stream/heartbeat")
+    summary = ingest.end_summary(sink(spark, sf_dir))
+    text = F.date_format("last_event_ts", "yyyy-MM-dd'T'HH:mm:ss")
+    summary.select(
+        text.alias("last_update"), F.col("events_processed").alias("events_generated"), "anomalies_detected",
+        F.lit("running").alias("status"),
+    ).coalesce(1).write.mode("overwrite").json(path)
+    now = F.lit(summary.first()["last_event_ts"]).cast("timestamp_ntz") + F.make_dt_interval(secs=F.lit(5))
+    return ingest.read_heartbeat(spark, path, now).select("events_generated", "anomalies_detected", "online")
+
+
 @register("t09_live_feed", on_live("""SELECT event_id, "timestamp", message FROM (SELECT * FROM lm
     WHERE risk_score >= 0 ORDER BY "timestamp" DESC, event_id LIMIT 50) ORDER BY "timestamp" DESC, event_id LIMIT 10"""),
     source="none")

@@ -93,6 +93,12 @@ def _(df):
     return cleaning.dedup(df)
 
 
+register("w01_rank_of_every_copy", on_raw("""SELECT event_id, "timestamp", transformer_id, power_mw, row_number() OVER (
+    PARTITION BY event_id ORDER BY "timestamp" NULLS LAST, transformer_id NULLS LAST, power_mw NULLS LAST) AS copy_rank
+    FROM raw"""), source="raw")(
+    lambda df: cleaning.rank_copies(df.select("event_id", "timestamp", "transformer_id", "power_mw")))
+
+
 @register("w01_dedup_ranking", on_distinct("""SELECT event_id, "timestamp", transformer_id, power_mw
     FROM distinct_rows"""), source="raw")
 def _(df):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from catalog.base import band, on_silver, register, rs, silver, type_rules, work
 from catalog.dashboard import four
 from catalog.scoring import COMPONENT_SQL
-from wattlake.operators import isolation
+from wattlake.operators import filters, isolation
 from wattlake.operators.isolation import ForestParams
 from wattlake.plans import ml
 from wattlake.schema import FEATURE_COLUMNS
@@ -154,6 +154,9 @@ register("ml4_flag_given_scores", on_silver(
     f"SELECT event_id, anomaly_prediction, anomaly_flag, {four({'anomaly_score_ml': 'anomaly_score_ml'})} FROM fl",
     _GIVEN), digits=4)(lambda df: isolation.flag_scores(_given(df)).select(
         "event_id", "anomaly_prediction", "anomaly_flag", "anomaly_score_ml"))
+register("q12_flagged_after_detection", on_silver(
+    "SELECT event_id, status FROM fl WHERE anomaly_flag = 1", _GIVEN))(
+    lambda df: filters.flagged_rows(isolation.flag_scores(_given(df))).select("event_id", "status"))
 register("ml5_blend_given_scores", on_silver(
     f"SELECT event_id, {four({'anomaly_score': 'anomaly_score'})} FROM bl", _GIVEN), digits=4)(
     lambda df: isolation.blend_scores(isolation.flag_scores(_given(df))).select("event_id", "anomaly_score"))

@@ -85,3 +85,14 @@ def test_weighted_type_follows_the_weights(spark, frame):
     counts = {r["k"]: r["count"] for r in labels.with_weighted_type(frame(rows), "k").groupBy("k").count().collect()}
     assert set(counts) == {"Overload", "Generation Drop"}
     assert abs(counts["Overload"] / 4000 - 25 / 37) < 0.03
+
+
+def test_grid_coordinates_are_the_published_ones(spark):
+    """A few fixed places, written out here, so that a wrong coordinate is seen outside the package's own list."""
+    from wattlake.sources.dimensions import substation_dimension
+
+    places = {r["substation_id"]: (r["latitude"], r["longitude"], r["name"]) for r in substation_dimension(spark).collect()}
+    assert len(places) == 29 and all(8 < lat < 35 and 68 < lon < 97 for lat, lon, _ in places.values())
+    for name, place in {"SUB-001": (28.6139, 77.2090, "Delhi"), "SUB-008": (13.0827, 80.2707, "Chennai"),
+                        "SUB-011": (22.5726, 88.3639, "Kolkata"), "SUB-029": (26.9124, 75.7873, "Jaipur")}.items():
+        assert places[name] == place

@@ -16,14 +16,19 @@ from wattlake.schema import (
 DEDUP_ORDER = ["timestamp", "transformer_id", "power_mw"]
 
 
+def rank_copies(df: DataFrame, key: str = "event_id", order: list[str] | None = None) -> DataFrame:
+    """Add ``copy_rank``: 1 for the copy of a key that ``dedup`` keeps, then the others in order."""
+    window = Window.partitionBy(key).orderBy(*[F.col(c).asc_nulls_last() for c in order or DEDUP_ORDER])
+    return df.withColumn("copy_rank", F.row_number().over(window))
+
+
 def dedup(df: DataFrame, key: str = "event_id", order: list[str] | None = None) -> DataFrame:
     """Keep one row per key.
 
     Filtering on ``row_number() = 1`` lets Spark keep only the best row per key in every
     map task before the shuffle, so a key holding a third of all rows sends one row per task.
     """
-    window = Window.partitionBy(key).orderBy(*[F.col(c).asc_nulls_last() for c in order or DEDUP_ORDER])
-    return df.withColumn("_rank", F.row_number().over(window)).filter("_rank = 1").drop("_rank")
+    return rank_copies(df, key, order).filter("copy_rank = 1").drop("copy_rank")
 
 
 def dedup_report(df: DataFrame, key: str = "event_id") -> DataFrame:

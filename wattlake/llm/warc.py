@@ -125,7 +125,7 @@ def write_archives(pages: DataFrame, path: str, min_payload: int = MIN_PAYLOAD,
                         if out is not None:
                             out.close()
                         name = f"part-{context.partitionId():06d}-{context.taskAttemptId()}-{files:04d}.warc.zst"
-                        out, files = system.open_output_stream(f"{folder}/{name}"), files + 1
+                        out, files = system.open_output_stream(f"{folder}/{name}", compression=None), files + 1
                         lead = struct.pack("<II", DICTIONARY_FRAME, len(dictionary)) + dictionary
                         out.write(lead)
                         at = len(lead)
@@ -158,7 +158,7 @@ def read_archives(spark: SparkSession, path: str, index: DataFrame, id_type: str
         kinds = [pa.string(), pa.string(), pa.string(), pa.binary(), pa.int64(), pa.string(), pa.string()]
         for batch in batches:
             for name in batch.column("file").to_pylist():
-                with system.open_input_stream(f"{folder}/{name}") as source:
+                with system.open_input_stream(f"{folder}/{name}", compression=None) as source:
                     data = source.read()
                 rows: list[tuple] = []
                 held = 0

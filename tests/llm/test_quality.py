@@ -67,7 +67,7 @@ def test_no_labels_and_no_rows(spark, documents):
 def test_compiled_rules_score_as_in_numpy(spark, documents):
     rows = made(3)
     docs = documents([(i, t) for i, t, _ in rows])
-    stats = docs.select("doc_id", *[c.alias(n) for n, c in quality.statistics(F.col("text")).items()]).orderBy("doc_id").collect()
+    stats = docs.select("doc_id", *[c.alias(n) for n, c in quality.statistics(quality.counts(F.col("text"))).items()]).orderBy("doc_id").collect()
     values = np.array([[r[n] for n in quality.NAMES] for r in stats])
     model = fit_rules(values, np.array([y for _, _, y in rows]))
     total = np.full(len(values), model.intercept)

@@ -25,22 +25,34 @@ TREES, DEPTH, BINS, LEAF = 24, 3, 48, 20
 PENALTY = 2e-4
 
 
-def statistics(text) -> dict[str, Column]:
-    """What the rules look at; null counts as empty, and every value is finite."""
+def counts(text) -> dict[str, Column]:
+    """What is counted in a text; null counts as empty."""
     text = F.coalesce(text, F.lit(""))
     count = lambda pattern: F.regexp_count(text, F.lit(pattern)).cast("double")
-    chars, words = F.char_length(text).cast("double"), count(WORD)
-    distinct = F.size(F.array_distinct(F.split(F.btrim(text, F.lit(" \t\n\x0b\f\r")), f"{SPACE}+")))
+    return {
+        "chars": F.char_length(text).cast("double"),
+        "words": count(WORD),
+        "distinct": F.size(F.array_distinct(F.split(F.btrim(text, F.lit(" \t\n\x0b\f\r")), f"{SPACE}+"))).cast("double"),
+        "symbols": count(r"[^\p{L}\p{N}\s.,]"),
+        "uppers": count(r"\p{Lu}"),
+        "digits": count(r"\p{Nd}"),
+        "stops": count(r"[.,]"),
+        "lines": count(r"\n"),
+    }
+
+
+def statistics(n: dict[str, Column]) -> dict[str, Column]:
+    """What the rules look at, from the counts; every value is finite."""
     share = lambda part, whole: part / F.greatest(whole, F.lit(1.0))
     return {
-        "words": words,
-        "word_length": share(chars, words),
-        "distinct_share": share(F.when(words > 0, distinct).otherwise(0).cast("double"), words),
-        "symbol_share": share(count(r"[^\p{L}\p{N}\s.,]"), chars),
-        "upper_share": share(count(r"\p{Lu}"), chars),
-        "digit_share": share(count(r"\p{Nd}"), chars),
-        "stop_share": share(count(r"[.,]"), words),
-        "line_share": share(count(r"\n"), words),
+        "words": n["words"],
+        "word_length": share(n["chars"], n["words"]),
+        "distinct_share": share(F.when(n["words"] > 0, n["distinct"]).otherwise(0.0), n["words"]),
+        "symbol_share": share(n["symbols"], n["chars"]),
+        "upper_share": share(n["uppers"], n["chars"]),
+        "digit_share": share(n["digits"], n["chars"]),
+        "stop_share": share(n["stops"], n["words"]),
+        "line_share": share(n["lines"], n["words"]),
     }
 
 
@@ -166,7 +178,7 @@ def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE, label: st
     pair of rows counts.  Only statistics of the text are looked at."""
     chosen = labels.where(F.col(label).isin(0, 1) & ~held_out(F.col("doc_id"))).select(F.col("doc_id").alias("_id"), F.col(label).alias("_label"))
     chosen = hash_sample(chosen, ["_id"], sample)
-    stats = statistics(F.col("text"))
+    stats = statistics(counts(F.col("text")))
     rows = (
         documents.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))  # about `sample` rows of two numbers
         .select("_id", "_label", *[stats[n].alias(n) for n in NAMES]).limit(4 * sample).collect()  # a doc_id may be repeated
@@ -176,23 +188,24 @@ def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE, label: st
     return fit_rules(values, np.array([r["_label"] for r in rows]))
 
 
+def score_column(text, model: RuleModel) -> Column:
+    """The score as a function of the text.  The counts are bound as one value of a lambda: a filter pushed
+    below a projection would count anew for every rule."""
+    counted = counts(text)
+    bound = F.array(F.struct(*[c.alias(n) for n, c in counted.items()]))
+    return F.get(F.transform(bound, lambda n: model.score(statistics({k: n[k] for k in counted}))), F.lit(0))
+
+
 def score_documents(documents: DataFrame, model: RuleModel, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, held_out, score, predicted) of every row; null texts are scored as empty ones, repeated
     rows each for itself, and an empty table gives no rows.  Other columns are not looked at."""
-    score = model.score({n: F.col(f"stat_{n}") for n in NAMES})
-    stats = statistics(F.col("text"))
-    return (
-        documents.select("doc_id", *[stats[n].alias(f"stat_{n}") for n in NAMES])
-        .select("doc_id", held_out(F.col("doc_id")).alias("held_out"), score.alias("score"))
-        .withColumn("predicted", F.when(F.col("score") >= threshold, 1).otherwise(0).cast("int"))
-    )
+    scored = documents.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), score_column(F.col("text"), model).alias("score"))
+    return scored.withColumn("predicted", F.when(F.col("score") >= threshold, 1).otherwise(0).cast("int"))
 
 
 def keep_good(documents: DataFrame, model: RuleModel, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``documents`` that the model doesn't reject, with their columns."""
-    stats = {n: c for n, c in statistics(F.col("text")).items()}
-    kept = documents.withColumns({f"_stat_{n}": c for n, c in stats.items()})
-    return kept.where(model.score({n: F.col(f"_stat_{n}") for n in NAMES}) >= threshold).select(*documents.columns)
+    return documents.where(score_column(F.col("text"), model) >= threshold)
 
 
 @register("op4_quality")

@@ -25,8 +25,7 @@ def components(links: DataFrame) -> DataFrame:
         last = state
         both = edges.union(edges.select("v", "u"))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = stored(large, "large-star")
+        large = stored(both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")), "large-star")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         moved = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = stored(moved.union(least).distinct(), "small-star")

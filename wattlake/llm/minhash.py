@@ -8,10 +8,12 @@ the full sets.
 
 Only what connects is verified, never all pairs of a bucket:
 1. each class against the smallest of the first classes of its buckets;
-2. in buckets whose members aren't all connected by then, each against the bucket's first;
-3. in those that are still open, members of different components.  Jaccard distance is a
-   metric, so members whose distances to the bucket's first differ by more than the
-   largest distance of a link can't be linked; the rest is verified pair by pair.
+2. in buckets whose members aren't all connected by then, each against members of other components
+   that are drawn anew for every bucket, ``PIVOTS`` of them, ``TURNS`` times;
+3. in those that are still open, members outside the bucket's largest component against all of other
+   components, pair by pair.  Every set has ``PARITY`` bits: whether the number of its shingles in a slot is
+   odd.  Bits in which two sets differ are a lower bound of the shingles that only one of them has, and
+   pairs that this bound proves too different are left out.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattlake.llm.graph import components
@@ -32,6 +34,9 @@ from wattlake.llm.text import Hasher, buffers, lowered, mix, shingles, slices, w
 WORDS, PERCENT = 5, 80
 #: A pair at a similarity of 0.8 is missed with probability (1 - 0.8^6)^64, about 4e-9.
 BANDS, ROWS = 64, 6
+#: Only how much is connected before the last step depends on these, never the result.
+PIVOTS, TURNS = 8, 2
+PARITY = 1024
 
 
 def sets_of(texts: pa.Array, hasher: Hasher, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -90,10 +95,15 @@ def _sketches(documents: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
                     total = np.concatenate([[np.uint64(0)], np.cumsum(mix(found + np.uint64(s)), dtype=np.uint64)])
                     sums.append(pa.array((total[where[1:]] - total[where[:-1]]).view(np.int64)))
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(len(keys) + 1) * bands, pa.int32()), pa.array(keys.ravel().view(np.int64)))
-                yield pa.RecordBatch.from_arrays([some.column("doc_id"), pa.array(np.diff(where)), *sums, lists], ["doc_id", "n", "s1", "s2", "keys"])
+                slot = np.repeat(np.arange(len(keys)), np.diff(where)) * PARITY + (found >> np.uint64(54)).astype(np.int64) % PARITY
+                odd = np.packbits((np.bincount(slot, minlength=len(keys) * PARITY) & 1).astype(np.uint8)).view(np.int64)
+                parity = pa.ListArray.from_arrays(pa.array(np.arange(len(keys) + 1) * (PARITY // 64), pa.int32()), pa.array(odd))
+                yield pa.RecordBatch.from_arrays(
+                    [some.column("doc_id"), pa.array(np.diff(where)), *sums, lists, parity], ["doc_id", "n", "s1", "s2", "keys", "parity"]
+                )
 
     kind = documents.schema["doc_id"].dataType.simpleString()
-    return documents.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n long, s1 long, s2 long, keys array<long>")
+    return documents.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n long, s1 long, s2 long, keys array<long>, parity array<long>")
 
 
 def _verify(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
@@ -162,28 +172,29 @@ def near_duplicates(documents: DataFrame, words: int = WORDS, percent: int = PER
         return own.join(split, "key")
 
     found = connected()
-    stars = open_buckets(found).where("id <> first").select(F.col("id").alias("u"), F.col("first").alias("v")).distinct()
-    done.append(_verify(stars.join(done[0], ["u", "v"], "left_anti"), texts, words, percent))
-    if not done[-1].where("linked").isEmpty():
-        found = connected()
-    known = reduce(DataFrame.union, done)
-    reach = 1 - percent / 100
-    far = open_buckets(found).join(known.select(F.col("u").alias("id"), F.col("v").alias("first"), "far"), ["id", "first"], "left")
-    far = far.withColumn("far", F.coalesce("far", F.lit(0.0)))  # only the bucket's first has none
-    # members within reach of each other meet in a cell: of their own distance, or the one above
-    slot = F.floor(F.col("far") / reach)
-    cells = stored(far.select("key", "id", "n", "component", "far", F.explode(F.array(slot, slot + 1)).alias("cell")), "cells")
-    kinds = cells.select("key", "cell", "component").distinct()
-    mixed = kinds.groupBy("key", "cell").agg(F.count(F.lit(1)).alias("m")).where("m > 1").drop("m")
-    kinds = kinds.join(mixed, ["key", "cell"])
-    other = kinds.withColumnRenamed("component", "other")
-    crossed = kinds.join(other, ["key", "cell"]).where("component < other")
-    a = cells.select("key", "cell", "component", F.col("id").alias("a"), F.col("n").alias("na"), F.col("far").alias("fa"))
-    b = cells.select("key", "cell", F.col("component").alias("other"), F.col("id").alias("b"), F.col("n").alias("nb"), F.col("far").alias("fb"))
-    near = (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")) & (F.abs(F.col("fa") - F.col("fb")) <= reach + 1e-9)
-    pairs = a.join(crossed, ["key", "cell", "component"]).join(b, ["key", "cell", "other"]).where(near)
-    pairs = pairs.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    done.append(_verify(pairs.join(known, ["u", "v"], "left_anti"), texts, words, percent))
+    for turn in range(TURNS):
+        own = open_buckets(found)
+        drawn = own.groupBy("key").agg(F.min(F.struct(F.xxhash64("key", "id", F.lit(turn)), F.col("id").alias("v"), F.col("component").alias("c"))).alias("pivot"))
+        stars = own.join(drawn, "key").where("component <> pivot.c").select("key", "id", F.col("pivot.v").alias("v"))
+        some = stars.withColumn("r", F.row_number().over(Window.partitionBy("id").orderBy(F.xxhash64("key", F.lit(turn))))).where(F.col("r") <= PIVOTS)
+        stars = some.select(F.greatest("id", "v").alias("u"), F.least("id", "v").alias("v")).distinct()
+        done.append(_verify(stars.join(reduce(DataFrame.union, done), ["u", "v"], "left_anti"), texts, words, percent))
+        if not done[-1].where("linked").isEmpty():
+            found = connected()
+    # what is still open: members outside their bucket's largest component against all of other components
+    bits = [F.get("parity", F.lit(k)).alias(f"b{k}") for k in range(PARITY // 64)]
+    parity = full.join(classes, ["n", "s1", "s2"]).where("doc_id = id").select("id", "n", *bits).dropDuplicates(["id", "n"])
+    own = open_buckets(found)
+    largest = own.groupBy("key", "component").agg(F.count(F.lit(1)).alias("m")).groupBy("key").agg(F.max(F.struct("m", "component")).alias("main"))
+    own = own.join(largest, "key").withColumn("is_main", F.col("component") == F.col("main.component")).select("key", "id", "n", "component", "is_main")
+    own = stored(own.join(parity, ["id", "n"]), "open-buckets")
+    a, b = own.where("NOT is_main").alias("a"), own.alias("b")
+    total = F.col("a.n") + F.col("b.n")
+    apart = sum((F.bit_count(F.col(f"a.b{k}").bitwiseXOR(F.col(f"b.b{k}"))) for k in range(PARITY // 64)), F.lit(0))
+    meets = (F.col("a.key") == F.col("b.key")) & (F.col("a.component") != F.col("b.component"))
+    meets &= (F.col("b.is_main") | (F.col("a.id") < F.col("b.id"))) & ((100 + percent) * apart <= (100 - percent) * total)
+    pairs = a.join(b, meets).select(F.greatest("a.id", "b.id").alias("u"), F.least("a.id", "b.id").alias("v")).distinct()
+    done.append(_verify(pairs.join(reduce(DataFrame.union, done), ["u", "v"], "left_anti"), texts, words, percent))
     if not done[-1].where("linked").isEmpty():
         found = connected()
     out = members.join(found, "id", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "id", "doc_id").alias("component_id"))

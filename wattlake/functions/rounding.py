@@ -20,7 +20,9 @@ def round_stable(value: Column, digits: int) -> Column:
 
     The last bits of a distributed double sum depend on the order of addition, which
     could flip a value lying exactly between two results.  Rounding to six guard digits
-    first removes that noise, so one partition and a thousand give the same answer.
+    first removes that noise, so one partition and a thousand give the same answer, as long as
+    the steps of a double at the sum's size are finer than the guard digits (with one digit, up
+    to about 1e8).
     """
     guarded = F.rint(value * F.lit(float(10 ** (digits + 6)))) / F.lit(1e6)
     return F.rint(guarded) / F.lit(float(10 ** digits)) + F.lit(0.0)

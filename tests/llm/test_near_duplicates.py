@@ -9,7 +9,7 @@ import pytest
 
 from wattlake.llm.graph import components
 from wattlake.llm.minhash import fast_sketch, near_duplicates, sets_of
-from wattlake.llm.passages import compact_windows, repeated_passages, signatures, spans
+from wattlake.llm.passages import compact_windows, passage_pairs, repeated_passages, signatures, spans
 from wattlake.llm.text import Hasher, buffers, words
 
 
@@ -109,11 +109,8 @@ def test_compact_windows_are_all_wide_spans():
             right = next((i - 1 for i in range(c + 1, b) if value[i] < value[c]), b - 1)
             if right - left + 1 >= t:
                 want.append((c, left, right))
-    got = []
-    for a, b in zip(where[:-1], where[1:], strict=True):
-        own = (at >= a) & (at < b)
-        got += [(int(c), *s) for c, s in zip(at[own], spans(at[own], keys[own], a, b), strict=True)]
-    assert sorted(got) == sorted(map(lambda x: tuple(map(int, x)), want))
+    first, last = spans(at, keys, where)
+    assert sorted(zip(at.tolist(), first.tolist(), last.tolist(), strict=True)) == sorted(tuple(map(int, x)) for x in want)
 
 
 def test_planted_passages(documents):
@@ -134,12 +131,17 @@ def test_planted_passages(documents):
     rows += [(50, None), (51, ""), (52, " ".join(take(49))), (53, rows[-1][1]), (54, rows[5][1] + " "), (None, rows[0][1]), (55, " ".join(take(30) * 4))]
     copies = {5, 23, 53, 54}
     got = repeated_passages(documents(rows)).collect()
-    texts = dict(r for r in rows if r[0] is not None)
     assert {r.doc_id for r in got} == planted | copies
-    for r in got:
-        a, b = split(texts[r.doc_id]), split(texts[r.other_doc_id])
-        x = shingle_set(" ".join(a[r.start_word : r.start_word + r.n_words]), 5)
-        y = shingle_set(" ".join(b[r.other_start_word : r.other_start_word + r.other_n_words]), 5)
-        assert r.doc_id != r.other_doc_id and min(r.n_words, r.other_n_words) >= 50
+    assert len(got) == len(planted | copies) and all(r.n_words >= 50 for r in got)
+    assert {r.doc_id: r.class_id for r in got if r.doc_id in copies} == {5: 5, 54: 5, 23: 23, 53: 23}
+    assert all(r.other_doc_id != r.doc_id and r.other_doc_id in planted | copies for r in got)
+    texts = dict(r for r in rows if r[0] is not None)
+    pairs = passage_pairs(documents(rows))[1].collect()
+    assert {r.u for r in pairs} | {r.v for r in pairs} == planted
+    for r in pairs:
+        a, b = split(texts[r.u]), split(texts[r.v])
+        x = shingle_set(" ".join(a[r.start_u : r.start_u + r.words_u]), 5)
+        y = shingle_set(" ".join(b[r.start_v : r.start_v + r.words_v]), 5)
+        assert r.u != r.v and min(r.words_u, r.words_v) >= 50
         assert r.similarity == pytest.approx(len(x & y) / len(x | y)) and r.similarity >= 0.8
-    assert max(r.n_words for r in got if r.doc_id % 6 in (1, 2) and r.doc_id < 24) >= 200
+    assert max(r.words_u for r in pairs if r.u % 6 in (1, 2)) >= 200

@@ -1,6 +1,5 @@
 import os
 import sys
-from datetime import datetime, timedelta
 
 import pytest
 
@@ -10,9 +9,6 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from wattlake.schema import TELEMETRY_SCHEMA  # noqa: E402
 from wattlake.session import build_session  # noqa: E402
 
-SF = "/root/testdata/sf0.001"
-START = datetime(2025, 4, 1)
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -22,20 +18,6 @@ def spark():
     session.stop()
 
 
-def reading(i=0, **changes):
-    """One plausible reading; any column can be changed."""
-    row = {
-        "event_id": f"EVT-{i:06d}", "timestamp": START + timedelta(minutes=i), "region": "North",
-        "substation_id": "SUB-001", "transformer_id": "TR-001001", "latitude": 28.6, "longitude": 77.2,
-        "voltage_kv": 40.0, "current_amp": 50.0, "power_mw": 1.9, "frequency_hz": 50.0, "load_percent": 55.0,
-        "power_factor": 0.95, "temperature_c": 43.0, "energy_generated_mwh": 10.0, "energy_consumed_mwh": 8.0,
-        "outage_duration_min": 0.0, "communication_latency_ms": 5.0, "fault_indicator": 0, "anomaly_score": 0.1,
-        "risk_score": 20, "status": "Normal", "anomaly_type": "Normal",
-    }
-    row.update(changes)
-    return tuple(row[c] for c in TELEMETRY_SCHEMA.fieldNames())
-
-
 @pytest.fixture(scope="session")
 def frame(spark):
     def make(rows):

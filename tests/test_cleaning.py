@@ -1,6 +1,6 @@
 import numpy as np
 import pytest
-from conftest import reading
+from readings import reading
 from pyspark.sql import functions as F
 
 from wattlake.operators import cleaning

@@ -3,7 +3,7 @@ from datetime import timedelta
 from hashlib import md5
 
 import pytest
-from conftest import START, reading
+from readings import START, reading
 from pyspark.sql import functions as F
 
 from wattlake.operators import cleaning, dashboard, filters, gold, service, trends

@@ -64,7 +64,7 @@ def test_rounding(spark):
 
 
 def test_weighted_type(spark, frame):
-    from conftest import reading
+    from readings import reading
 
     rows = [
         reading(0, load_percent=95.0, temperature_c=80.0, fault_indicator=1),
@@ -79,7 +79,7 @@ def test_weighted_type(spark, frame):
 
 
 def test_weighted_type_follows_the_weights(spark, frame):
-    from conftest import reading
+    from readings import reading
 
     rows = [reading(i, load_percent=85.0, energy_generated_mwh=50.0) for i in range(4000)]
     counts = {r["k"]: r["count"] for r in labels.with_weighted_type(frame(rows), "k").groupBy("k").count().collect()}

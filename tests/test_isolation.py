@@ -1,6 +1,6 @@
 import numpy as np
 import pytest
-from conftest import reading
+from readings import reading
 
 from wattlake.operators import cleaning, isolation
 from wattlake.operators.isolation import ForestParams

@@ -7,7 +7,7 @@ import sys
 from datetime import datetime
 
 import pytest
-from conftest import reading
+from readings import reading
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from test_streaming import write_events

@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
-from conftest import SF
+from readings import SF
 from oracle import compare, connect
 
 QUERIES, ORACLE = entry.queries(), entry.oracle_sql()

@@ -4,7 +4,7 @@ import contextlib
 import io
 
 import pytest
-from conftest import SF
+from readings import SF
 
 from catalog.base import silver
 from wattlake.operators import filters, gold, sampling, service, trends

@@ -1,7 +1,7 @@
 import json
 from datetime import datetime
 
-from conftest import reading
+from readings import reading
 from pyspark.sql import functions as F
 
 from wattlake.schema import STREAM_COLUMNS

@@ -14,6 +14,7 @@ from wattlake.llm.tokens import Encoder
 ODD = [
     "", None, "a<|endoftext|>b  c", "  x   y\n\n z\t'S don't it's,ok...?! 12a'3   q", "é éé!　 x", "  a", "a  b ", "it 's 're\r\n\r\n  ",
     "日本 語 テ。 x", "x\x1c y\x85 z   w ", "A'LL we'll 12,3.4 '' 'd", "tab\tTab\x0bvt\x0cff", "!!! ...a .b 1.5.2", "ß. à, ×3 ÷ 4", " " * 50 + "end",
+    "ΑΣ ΣΑΣ", "İi", "é < \u0338", "a'b'", "ab,'s", "µ ª ²  x", "<|startoftext|>A", "ABC'S",
 ]
 
 

@@ -22,7 +22,7 @@ from wattlake.llm.text import Hasher, buffers, mix, slices
 from wattlake.llm.tokens import encoder
 
 #: Bytes of text in a block, more only where one text has more.
-BLOCK = 8 << 20
+BLOCK = 2 << 20
 #: Bits of a B id in a pair's code.
 LOW = 24
 
@@ -31,11 +31,18 @@ class _Bytes:
     """The bytes of each token of a tokenizer."""
 
     def __init__(self, model) -> None:
-        self.length = np.zeros(model.size, np.int64)
-        for i, b in model.bytes.items():
-            self.length[i] = len(b)
+        each = [model.bytes.get(i, b"") for i in range(model.size)]
+        self.length = np.fromiter(map(len, each), np.int64, len(each))
         self.begin = np.cumsum(self.length) - self.length
-        self.flat = np.frombuffer(b"".join(model.bytes.get(i, b"") for i in range(model.size)), np.uint8)
+        self.flat = np.frombuffer(b"".join(each), np.uint8)
+
+    @staticmethod
+    def of(path: str) -> _Bytes:
+        """Those of the tokenizer that this worker process has loaded."""
+        model = encoder(path, False).model
+        if not hasattr(model, "joining"):
+            model.joining = _Bytes(model)
+        return model.joining
 
     def joined(self, ids: np.ndarray) -> np.ndarray:
         sizes = self.length[ids]
@@ -186,7 +193,7 @@ def _blocks(documents: DataFrame, path_a: str, path_b: str) -> DataFrame:
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code_a, code_b, hasher = encoder(path_a, False), encoder(path_b, False), Hasher()
-        bytes_a, bytes_b = _Bytes(code_a.model), _Bytes(code_b.model)
+        bytes_a, bytes_b = _Bytes.of(path_a), _Bytes.of(path_b)
         block, number = _Block(), TaskContext.get().partitionId() << 24
         for batch in batches:
             for some in slices(batch, "text", 1 << 20):
@@ -232,8 +239,7 @@ def align(documents: DataFrame, tokenizer_a: str, tokenizer_b: str) -> tuple[Dat
         n_a, n_b, n_w = np.frombuffer(raw[0], np.int64).reshape(3, -1)
         of = np.frombuffer(raw[1], np.uint32)
         windows = Windows(*(np.frombuffer(x, kind) for x, kind in zip(raw[2:], (np.uint32, np.int64) * 2, strict=True)))
-        code_a, code_b = encoder(tokenizer_a, False), encoder(tokenizer_b, False)
-        windows.align(_Bytes(code_a.model).length, _Bytes(code_b.model).length)
+        windows.align(_Bytes.of(tokenizer_a).length, _Bytes.of(tokenizer_b).length)
         _, back = np.unique(windows.code, return_inverse=True)
         count, top = np.zeros(counted.num_rows, np.int64), np.zeros(counted.num_rows, np.int64)
         at = counted.column("pos").to_numpy()

@@ -9,7 +9,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from wattlake.llm.packing import pack_documents, pack_histogram, tokenizer_path
-from wattlake.llm.tokens import Encoder
+from wattlake.llm.tokens import encoder as encoder_of
 
 ODD = [
     "", None, "a<|endoftext|>b  c", "  x   y\n\n z\t'S don't it's,ok...?! 12a'3   q", "é éé!　 x", "  a", "a  b ", "it 's 're\r\n\r\n  ",
@@ -23,13 +23,15 @@ def tokenizer():
     return Tokenizer.from_file(tokenizer_path())
 
 
-def test_ids_as_by_the_tokenizer(tokenizer):
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_ids_as_by_the_tokenizer(name):
+    tokenizer = Tokenizer.from_file(tokenizer_path(name))
     rng = random.Random(3)
-    alphabet = " \t\n\x0b.,'!?aAbé日 　x1<|s"
+    alphabet = " \t\n\x0b.,'!?aAbéÉ日\u00a0\u3000x1<|s²µΣ"
     texts = ODD + ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 40))) for _ in range(1500)]
-    encoder = Encoder(tokenizer_path())
-    for known in (600_000, 50):
-        encoder.REMEMBERED = known
+    for most in (24 << 20, 3000):
+        encoder = encoder_of(tokenizer_path(name))
+        encoder.known.most = most
         ids, where = encoder(pa.array(texts))
         for i, text in enumerate(texts):
             assert ids[where[i] : where[i + 1]].tolist() == tokenizer.encode(text or "", add_special_tokens=False).ids, repr(text)

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from wattlake.llm.packing import tokenizer_path
 from wattlake.llm.shared import register, stored, table
 from wattlake.llm.text import Hasher, buffers, mix, slices
-from wattlake.llm.tokens import encoder
+from wattlake.llm.tokens import encoder, model_of, released
 
 #: Bytes of text in a block, more only where one text has more.
 BLOCK = 2 << 20
@@ -39,7 +39,7 @@ class _Bytes:
     @staticmethod
     def of(path: str) -> _Bytes:
         """Those of the tokenizer that this worker process has loaded."""
-        model = encoder(path, False).model
+        model = model_of(path, False)
         if not hasattr(model, "joining"):
             model.joining = _Bytes(model)
         return model.joining
@@ -205,7 +205,7 @@ def _blocks(documents: DataFrame, path_a: str, path_b: str) -> DataFrame:
             yield block.row(number, bytes_a, bytes_b)
 
     kind = documents.schema["doc_id"].dataType.simpleString()
-    return documents.select("doc_id", "text").mapInArrow(split, f"block long, docs array<{kind}>, code array<long>, n array<long>, blob array<binary>")
+    return documents.select("doc_id", "text").mapInArrow(lambda b: released(split(b)), f"block long, docs array<{kind}>, code array<long>, n array<long>, blob array<binary>")
 
 
 def align(documents: DataFrame, tokenizer_a: str, tokenizer_b: str) -> tuple[DataFrame, DataFrame]:

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from wattlake.llm.packing import tokenizer_path
 from wattlake.llm.shared import register, stored, table
 from wattlake.llm.text import slices
-from wattlake.llm.tokens import encoder
+from wattlake.llm.tokens import encoder, released
 
 CAPACITY = 2048
 END_ID = 0
@@ -176,7 +176,7 @@ def _pieces(documents: DataFrame, path: str, capacity: int, end_id: int) -> Data
                 )
 
     kind = documents.schema["doc_id"].dataType.simpleString()
-    return documents.select("doc_id", "text").mapInArrow(cut, f"doc_id {kind}, key long, piece int, start long, length long, blob binary")
+    return documents.select("doc_id", "text").mapInArrow(lambda b: released(cut(b)), f"doc_id {kind}, key long, piece int, start long, length long, blob binary")
 
 
 def pack_best_fit(
@@ -194,7 +194,8 @@ def pack_best_fit(
         raise ValueError("capacity must be 2 at least")
     pieces = stored(_pieces(documents, tokenizer, capacity, end_id), "pieces")
     places, certificates = pack_lengths(pieces.where(F.col("length") < capacity).select("key", "length"), capacity, per_partition, shared_by)
-    joined = pieces.join(places.withColumnRenamed("key", "_key"), F.col("key") == F.col("_key"), "left")
+    # places grow with the documents, so they are never sent to every task
+    joined = pieces.join(places.withColumnRenamed("key", "_key").hint("merge"), F.col("key") == F.col("_key"), "left")
     sequence = F.when(F.col("bin").isNull(), F.col("key") * 2).otherwise(F.col("bin") * 2 + 1)
     joined = joined.select("doc_id", "piece", "start", "length", "blob", sequence.alias("sequence_id"), F.coalesce("offset", F.lit(0)).alias("offset"))
 

@@ -18,12 +18,14 @@ from pyspark.sql import functions as F
 
 from wattlake.llm.shared import register, stored, table
 from wattlake.llm.text import slices
-from wattlake.llm.tokens import encoder
+from wattlake.llm.tokens import encoder, released
 
 CAPACITY = 2048
 END_ID = 1
 #: Packs are dissolved, their pieces cut to fill the gaps of others, until no more than this share is padding.
 MAX_PADDING = 0.01
+#: Bytes of the parts' ranks that are sent to every task at most.
+BROADCAST = 64 << 20
 
 
 class _Pack:
@@ -139,13 +141,19 @@ def _tokenized(documents: DataFrame, path: str, capacity: int, end_id: int) -> D
                 ids, where = code(some.column("text"))
                 size = np.diff(where) + 1
                 rest, pieces = size % capacity, size // capacity
+                order = np.argsort(rest, kind="stable")
+                grouped = rest[order]
                 local = np.empty(len(size), np.int64)
-                for i, r in enumerate(rest.tolist()):
-                    local[i] = seen[r]
-                    seen[r] += 1
+                local[order] = seen[grouped] + np.arange(len(size)) - np.searchsorted(grouped, grouped)
+                seen += np.bincount(rest, minlength=capacity)
                 first = full + np.cumsum(pieces) - pieces
                 full += int(pieces.sum())
-                blobs = [press.compress(np.append(ids[a:b].astype(np.uint32) if end_id >= 1 << 16 else ids[a:b], ids.dtype.type(end_id)).tobytes()) for a, b in zip(where[:-1], where[1:], strict=True)]
+                to = np.cumsum(size)
+                whole = np.empty(to[-1], np.uint32 if end_id >= 1 << 16 else ids.dtype)
+                last = np.zeros(len(whole), bool)
+                last[to - 1] = True
+                whole[last], whole[~last] = end_id, ids
+                blobs = [press.compress(whole[a:b].tobytes()) for a, b in zip((to - size).tolist(), to.tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [some.column("doc_id"), pa.array(np.full(len(size), part, np.int32)), pa.array(size), pa.array(rest), pa.array(local), pa.array(pieces), pa.array(first), pa.array(blobs, pa.binary())],
                     ["doc_id", "part", "doc_tokens", "rest", "local", "pieces", "local_full", "blob"],
@@ -153,7 +161,7 @@ def _tokenized(documents: DataFrame, path: str, capacity: int, end_id: int) -> D
 
     kind = documents.schema["doc_id"].dataType.simpleString()
     return documents.select("doc_id", "text").mapInArrow(
-        encode, f"doc_id {kind}, part int, doc_tokens long, rest long, local long, pieces long, local_full long, blob binary"
+        lambda b: released(encode(b)), f"doc_id {kind}, part int, doc_tokens long, rest long, local long, pieces long, local_full long, blob binary"
     )
 
 
@@ -177,10 +185,20 @@ def pack_documents(
     before = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
     full = by_part.groupBy("part").agg(F.sum("full").alias("full"))
     full = full.select(F.col("part").alias("p"), F.coalesce(F.sum("full").over(before(Window.orderBy("part"))), F.lit(0)).alias("before_full"))
-    starts = by_part.withColumn("before", F.coalesce(F.sum("n").over(before(Window.partitionBy("rest").orderBy("part"))), F.lit(0)))
-    starts = starts.join(full, F.col("part") == F.col("p")).select("part", "rest", "before", "before_full")
-    ranked = tokens.join(starts, ["part", "rest"]).select(
-        "doc_id", "doc_tokens", "rest", "pieces", (F.col("before") + F.col("local")).alias("rank"), (F.col("before_full") + F.col("local_full")).alias("first"), "blob"
+    ranks = by_part.withColumn("before", F.coalesce(F.sum("n").over(before(Window.partitionBy("rest").orderBy("part"))), F.lit(0)))
+
+    def dense(rows: pa.Table) -> pa.Table:
+        values = np.zeros(capacity, np.int64)
+        values[rows.column("rest").to_numpy()] = rows.column("before").to_numpy()
+        return pa.table({"part": rows.column("part")[:1], "before": pa.array([values])})
+
+    # one row a part; sent to every task only while it is small, however many parts there are
+    starts = stored(ranks.select("part", "rest", "before").groupBy("part").applyInArrow(dense, "part int, before array<long>"), "starts")
+    small = starts.count() * capacity * 8 <= BROADCAST
+    starts = starts.join(full, F.col("part") == F.col("p")).select("part", "before", "before_full").hint("broadcast" if small else "merge")
+    ranked = tokens.join(starts, "part").select(
+        "doc_id", "doc_tokens", "rest", "pieces", (F.col("before")[F.col("rest").cast("int")] + F.col("local")).alias("rank"),
+        (F.col("before_full") + F.col("local_full")).alias("first"), "blob",
     )
     bounds = np.searchsorted(layout[:, 0], np.arange(capacity + 1))
 

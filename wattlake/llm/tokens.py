@@ -16,9 +16,12 @@ kind is left to its own library, whole texts at a time.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import json
 import re
 import sys
+from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
@@ -210,7 +213,7 @@ class Table:
     """Rows of numbers by 64-bit key, in flat arrays.  Its bytes are bounded: when it is full, the rows that were
     asked for most often stay, about half of them."""
 
-    def __init__(self, kind: type, most: int = 32 << 20) -> None:
+    def __init__(self, kind: type, most: int) -> None:
         self.kind, self.most = kind, most
         self._keep(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, kind))
 
@@ -253,11 +256,11 @@ class Table:
 
 
 class Encoder:
-    #: Bytes of the stretches remembered by one worker process.
-    REMEMBERED = 32 << 20
+    #: Bytes of the stretches remembered by one task.
+    REMEMBERED = 24 << 20
 
-    def __init__(self, path: str, special: bool = True) -> None:
-        self.model = _model(path, special)
+    def __init__(self, model) -> None:
+        self.model = model
         self.added = [a.encode() for a in self.model.added]
         self.kind = np.uint16 if self.model.size <= 1 << 16 else np.uint32
         self.hasher = Hasher()
@@ -310,9 +313,24 @@ class Encoder:
         return np.concatenate(parts), np.concatenate([[0], np.cumsum([len(p) for p in parts])])
 
 
-def encoder(path: str, special: bool = True) -> Encoder:
-    """The encoder of this worker process; kept with ``sys``, so later tasks find what earlier ones encoded."""
-    kept = sys.__dict__.setdefault("_wattlake_encoders", {})
+def model_of(path: str, special: bool = True):
+    """The vocabulary; the worker process keeps it with ``sys`` for later tasks."""
+    kept = sys.__dict__.setdefault("_wattlake_models", {})
     if (path, special) not in kept:
-        kept[path, special] = Encoder(path, special)
+        kept[path, special] = _model(path, special)
     return kept[path, special]
+
+
+def encoder(path: str, special: bool = True) -> Encoder:
+    """An encoder for one task; the stretches it remembers go with the task."""
+    return Encoder(model_of(path, special))
+
+
+def released(batches: Iterator) -> Iterator:
+    """``batches``; after the last one, memory that the task has freed goes back to the system, so that a waiting worker
+    holds little."""
+    yield from batches
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU library only
+    if trim:
+        gc.collect()
+        trim(0)

@@ -22,7 +22,7 @@ from wattlake.llm.text import Hasher, buffers, mix, slices
 from wattlake.llm.tokens import encoder, model_of, released
 
 #: Bytes of text in a block, more only where one text has more.
-BLOCK = 2 << 20
+BLOCK = 1 << 19
 #: Bits of a B id in a pair's code.
 LOW = 24
 
@@ -196,7 +196,7 @@ def _blocks(documents: DataFrame, path_a: str, path_b: str) -> DataFrame:
         bytes_a, bytes_b = _Bytes.of(path_a), _Bytes.of(path_b)
         block, number = _Block(), TaskContext.get().partitionId() << 24
         for batch in batches:
-            for some in slices(batch, "text", 1 << 20):
+            for some in slices(batch, "text", BLOCK):
                 block.add(some.column("doc_id"), some.column("text"), code_a, code_b, bytes_a, bytes_b, hasher)
                 if block.size >= BLOCK:
                     yield block.row(number, bytes_a, bytes_b)

@@ -64,7 +64,7 @@ class Hasher:
     probability near 2^-63.  One object per task; ``seed`` fixes the values, so all tasks agree.
     """
 
-    SPAN = 1 << 19
+    SPAN = 1 << 17
 
     def __init__(self, seed: int = 20) -> None:
         self.values = np.random.default_rng(seed).integers(0, 1 << 64, 256, np.uint64, endpoint=False)

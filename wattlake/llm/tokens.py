@@ -215,7 +215,7 @@ class Table:
 
     def __init__(self, kind: type, most: int) -> None:
         self.kind, self.most = kind, most
-        self._keep(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, kind))
+        self._keep(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(0, kind))
 
     def _keep(self, keys, begin, length, asked, values) -> None:
         self.keys, self.begin, self.length, self.asked, self.values = keys, begin, length, asked, values
@@ -231,7 +231,7 @@ class Table:
 
     def add(self, keys: np.ndarray, values: np.ndarray, sizes: np.ndarray) -> None:
         """New rows; ``keys`` ascend."""
-        if 32 * (len(self.keys) + len(keys)) + self.values.itemsize * (len(self.values) + len(values)) > self.most:
+        if 24 * (len(self.keys) + len(keys)) + self.values.itemsize * (len(self.values) + len(values)) > self.most:
             self._forget()
         at = np.searchsorted(self.keys, keys)
         begin = len(self.values) + np.cumsum(sizes) - sizes
@@ -257,7 +257,7 @@ class Table:
 
 class Encoder:
     #: Bytes of the stretches remembered by one task.
-    REMEMBERED = 24 << 20
+    REMEMBERED = 12 << 20
 
     def __init__(self, model) -> None:
         self.model = model

@@ -22,7 +22,7 @@ from wattlake.llm.text import Hasher, buffers, mix, slices
 from wattlake.llm.tokens import encoder, model_of, released
 
 #: Bytes of text in a block, more only where one text has more.
-BLOCK = 1 << 19
+BLOCK = 1 << 20
 #: Bits of a B id in a pair's code.
 LOW = 24
 
@@ -127,6 +127,24 @@ class Windows:
         return [out[s] if e - s == 1 else ";".join(out[s:e]) for s, e in zip(at[:-1], at[1:], strict=True)]
 
 
+def _packed(numbers: np.ndarray) -> bytes:
+    """Numbers from 0 on, in as few bytes as the largest needs, all first bytes, then all second ones, compressed."""
+    import zstandard
+
+    width = 1 if not numbers.size else max(1, (int(numbers.max()).bit_length() + 7) // 8)
+    planes = np.ascontiguousarray(numbers.reshape(-1).astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :width].T
+    return bytes([width]) + zstandard.ZstdCompressor(3).compress(np.ascontiguousarray(planes).tobytes())
+
+
+def _unpacked(raw: bytes) -> np.ndarray:
+    import zstandard
+
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw[1:]), np.uint8).reshape(raw[0], -1)
+    out = np.zeros((planes.shape[1], 8), np.uint8)
+    out[:, : raw[0]] = planes.T
+    return out.reshape(-1).view("<i8")
+
+
 class _Block:
     """Texts that are tokenized and split into windows, until they are written as one row."""
 
@@ -164,25 +182,27 @@ class _Block:
         self.size += len(data)
 
     def row(self, number: int, bytes_a: _Bytes, bytes_b: _Bytes) -> pa.RecordBatch:
-        import zstandard
-
         _, first, back = np.unique(np.concatenate(self.keys), return_index=True, return_inverse=True)
         windows = Windows.joined(self.windows).take(first)
         starts = np.cumsum([0, *map(len, self.keys)])
-        of = np.concatenate([back[s + x] for s, x in zip(starts[:-1], self.at, strict=True)]).astype(np.uint32)
+        of = np.concatenate([back[s + x] for s, x in zip(starts[:-1], self.at, strict=True)])
+        # frequent windows first: their small numbers compress well
+        frequent = np.argsort(-np.bincount(of, minlength=len(first)), kind="stable")
+        place = np.empty(len(first), np.int64)
+        place[frequent] = np.arange(len(first))
+        windows, of = windows.take(frequent), place[of]
         windows.align(bytes_a.length, bytes_b.length)
         code, back = np.unique(windows.code, return_inverse=True)
         times = np.repeat(np.bincount(of, minlength=len(first)), np.diff(windows.link_at))
         n = np.bincount(back, times, len(code)).astype(np.int64)
         counts = np.concatenate(self.counts, axis=1)
-        blob = [counts.astype(np.int64), of, windows.a.astype(np.uint32), windows.a_at, windows.b.astype(np.uint32), windows.b_at]
-        press = zstandard.ZstdCompressor(1)
+        blob = [counts, of, windows.a, np.diff(windows.a_at), windows.b, np.diff(windows.b_at)]
         docs = pa.concat_arrays(self.docs)
         whole = lambda values: pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
         return pa.RecordBatch.from_arrays(
             [
                 pa.array([number], pa.int64()), whole(docs), whole(pa.array(code)), whole(pa.array(n)),
-                whole(pa.array([press.compress(np.ascontiguousarray(x).tobytes()) for x in blob], pa.binary())),
+                whole(pa.array(list(map(_packed, blob)), pa.binary())),
             ],
             ["block", "docs", "code", "n", "blob"],
         )
@@ -196,7 +216,7 @@ def _blocks(documents: DataFrame, path_a: str, path_b: str) -> DataFrame:
         bytes_a, bytes_b = _Bytes.of(path_a), _Bytes.of(path_b)
         block, number = _Block(), TaskContext.get().partitionId() << 24
         for batch in batches:
-            for some in slices(batch, "text", BLOCK):
+            for some in slices(batch, "text", BLOCK // 2):
                 block.add(some.column("doc_id"), some.column("text"), code_a, code_b, bytes_a, bytes_b, hasher)
                 if block.size >= BLOCK:
                     yield block.row(number, bytes_a, bytes_b)
@@ -231,14 +251,10 @@ def align(documents: DataFrame, tokenizer_a: str, tokenizer_b: str) -> tuple[Dat
     scored = pairs.select("block", "pos", "code").join(counts, "code").select("block", "pos", "count", (F.col("count") == F.col("best")).alias("top"))
 
     def finish(counted: pa.Table, block: pa.Table) -> pa.Table:
-        import zstandard
-
-        unpress = zstandard.ZstdDecompressor()
-        raw = [unpress.decompress(x) for x in block.column("blob")[0].as_py()]
+        raw = [_unpacked(x) for x in block.column("blob")[0].as_py()]
         docs = block.column("docs").combine_chunks().flatten()
-        n_a, n_b, n_w = np.frombuffer(raw[0], np.int64).reshape(3, -1)
-        of = np.frombuffer(raw[1], np.uint32)
-        windows = Windows(*(np.frombuffer(x, kind) for x, kind in zip(raw[2:], (np.uint32, np.int64) * 2, strict=True)))
+        (n_a, n_b, n_w), of = raw[0].reshape(3, -1), raw[1]
+        windows = Windows(raw[2], np.concatenate([[0], np.cumsum(raw[3])]), raw[4], np.concatenate([[0], np.cumsum(raw[5])]))
         windows.align(_Bytes.of(tokenizer_a).length, _Bytes.of(tokenizer_b).length)
         _, back = np.unique(windows.code, return_inverse=True)
         count, top = np.zeros(counted.num_rows, np.int64), np.zeros(counted.num_rows, np.int64)

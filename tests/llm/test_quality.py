@@ -99,3 +99,13 @@ def test_tree_paths_hold_for_their_rows():
         for k, above, at in path:
             holds &= (bins[:, k] > at) == above
         assert sorted(rows) == np.flatnonzero(holds).tolist()
+
+
+def test_copies_and_the_order_of_files_teach_nothing(spark, documents):
+    rng = random.Random(4)
+    rows = [(i, " ".join(["word"] * rng.randint(1, 40)) + "." * (i % 3), "a") for i in range(300)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(300)], "doc_id long, quality int")
+    plain = fit(documents(rows), labels)
+    many = rows + [rows[1]] * 20_000
+    rng.shuffle(many)
+    assert fit(documents(many).repartition(7), labels) == plain == fit(documents(rows[::-1]), labels.union(labels))

@@ -99,3 +99,19 @@ def test_empty_tables(spark):
     assert near_duplicate_vectors(none).collect() == []
     assert top_k(none, none).collect() == []
     assert near_duplicate_vectors(frame(spark, [(1, None), (2, [0.0])])).where("n_links > 0 OR NOT kept").count() == 0
+
+
+def test_top_k_of_large_components(spark):
+    """Exact whatever the size; beyond 64 bits an error."""
+    def best(rows, query):
+        df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+        return [tuple(r) for r in top_k(df, df.where(f"vec_id = {query}")).orderBy("rank").select("vec_id", "score").collect()]
+
+    assert best([(0, [1.0]), (1, [600000.0]), (2, [900000.0])], 0) == [(2, 256 * 256 * 900000), (1, 256 * 256 * 600000)]
+    big = 2.0**35
+    rows = [(0, [big, -big, 1.0]), (1, [big, big, 3.0]), (2, [big, big - 1, 3.0]), (3, [-big, -big, 2.0])]
+    exact = lambda a, b: sum(int(256 * x) * int(256 * y) for x, y in zip(a, b))
+    want = sorted(((exact(rows[0][1], v), i) for i, v in rows[1:]), key=lambda x: (-x[0], x[1]))
+    assert best(rows, 0) == [(i, s) for s, i in want]
+    with pytest.raises(Exception, match="beyond 64 bits"):
+        best([(0, [1e18]), (1, [1e18])], 0)

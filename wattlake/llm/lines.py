@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattlake.llm.shared import UPPER, new_path, register, stored, table
+from wattlake.llm.shared import UPPER, free_name, new_path, register, stored, table
 
 MIN_DOCS = 10
 MIN_CHARS = 1
@@ -78,6 +78,12 @@ class LineRuns:
 
         return reduce(merged, runs)
 
+    def drop(self) -> None:
+        """Take all runs out of the catalog."""
+        for name in [name for level in self.levels for name in level]:
+            self.spark.sql(f"DROP TABLE {name}")
+        self.levels = []
+
     def frequent(self) -> DataFrame:
         """Hashes found in at least ``min_docs`` documents."""
         return self._sum(self.runs()).where(F.col("n") >= self.min_docs).select("hash")
@@ -102,7 +108,7 @@ def dedup_lines(
     lines = stored(
         documents.select("doc_id", F.md5(text).alias("version"), F.posexplode(hashes).alias("pos", "hash"))
         .withColumn("batch", F.pmod(F.xxhash64("doc_id"), F.lit(batches))),
-        "lines",
+        "lines", "batch",
     )
     runs = LineRuns(spark, min_docs, fan_out)
     for batch in range(batches):
@@ -110,20 +116,23 @@ def dedup_lines(
         runs.add(mine.select("hash", "doc_id").distinct().groupBy("hash").agg(F.count(F.lit(1)).alias("n")))
     # written, so that the join deals out both sides itself and can split a hash that very many lines have
     frequent = stored(runs.frequent(), "frequent-lines").withColumn("dropped", F.lit(True))
+    runs.drop()
+    names = documents.columns
+    of, version, marked = (free_name(names, n) for n in ("_id", "_version", "_marks"))
     marks = (
         lines.join(frequent, "hash", "left")
-        .groupBy(F.col("doc_id").alias("_id"), F.col("version").alias("_version"))
-        .agg(F.sort_array(F.collect_set(F.struct("pos", F.coalesce("dropped", F.lit(False)).alias("dropped")))).alias("_marks"))
-        .where(F.exists("_marks", lambda m: m["dropped"]))
+        .groupBy(F.col("doc_id").alias(of), F.col("version").alias(version))
+        .agg(F.sort_array(F.collect_set(F.struct("pos", F.coalesce("dropped", F.lit(False)).alias("dropped")))).alias(marked))
+        .where(F.exists(marked, lambda m: m["dropped"]))
     )
-    kept = F.array_join(F.filter(split, lambda _, i: ~F.get("_marks", i)["dropped"]), "\n")
-    others = [c for c in documents.columns if c not in ("n_lines", "n_dropped")]
+    kept = F.array_join(F.filter(split, lambda _, i: ~F.get(marked, i)["dropped"]), "\n")
+    others = [c for c in names if c not in ("n_lines", "n_dropped")]
     return (
         documents.select(*others)
-        .join(marks, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.md5(text) == F.col("_version")), "left")
+        .join(marks, F.col("doc_id").eqNullSafe(F.col(of)) & (F.md5(text) == F.col(version)), "left")
         .withColumn("n_lines", F.size(split).cast("long"))
-        .withColumn("n_dropped", F.when(F.col("_marks").isNull(), 0).otherwise(F.size(F.filter("_marks", lambda m: m["dropped"]))).cast("long"))
-        .withColumn("text", F.when(F.col("_marks").isNull(), text).otherwise(kept))
+        .withColumn("n_dropped", F.when(F.col(marked).isNull(), 0).otherwise(F.size(F.filter(marked, lambda m: m["dropped"]))).cast("long"))
+        .withColumn("text", F.when(F.col(marked).isNull(), text).otherwise(kept))
         .select(*others, "n_lines", "n_dropped")
     )
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wattlake.llm.shared import WORD, register, stored, table
+from wattlake.llm.shared import WORD, free_name, register, stored, table
 
 BLOCK = 16
 WEIGHTS = (1, 2, 3)
@@ -92,8 +92,9 @@ def mix_sources(
     block: int = BLOCK,
     shard_rows: int = SHARD_ROWS,
     seed: int = SEED,
+    row: str | None = None,
 ) -> DataFrame:
-    """(doc_id, size, source, source_size, target, taken) of every row.
+    """(doc_id, size, source, source_size, target, taken) of every row, and its column ``row`` if that is asked for.
 
     ``size`` is the number of words (null or empty text: 0), ``taken`` the words the mix takes of this
     row, whole rounds and a first part; it is at most ``repeats`` times ``size``.  A source's taken
@@ -103,7 +104,8 @@ def mix_sources(
     gives no rows.
     """
     key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
-    sized = stored(documents.select("doc_id", "source", word_count(F.col("text")).alias("size"), key.alias("key")), "sizes")
+    carried = [F.col(row).alias("row")] if row else []
+    sized = stored(documents.select("doc_id", "source", word_count(F.col("text")).alias("size"), key.alias("key"), *carried), "sizes")
     sources = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_docs"))
     targets = source_targets(sources, weights, repeats)
     total = F.sum("source_size").over(Window.partitionBy("all"))
@@ -120,7 +122,7 @@ def mix_sources(
         F.col("of").alias("cell_of"), F.col("shard").alias("cell_shard"), "shard_size",
         F.least(F.col("quota") * block, F.col("shard_size") * repeats).alias("words"),
     )
-    stream = Window.partitionBy("of", "shard").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    stream = Window.partitionBy("of", "shard").orderBy("key", "doc_id", "size", *["row" for _ in carried]).rowsBetween(Window.unboundedPreceding, -1)
     rounds = F.when(F.col("shard_size") > 0, F.floor(F.col("words") / F.col("shard_size"))).otherwise(0)
     part = F.col("words") - F.col("rounds") * F.col("shard_size") - F.col("before")
     return (
@@ -128,25 +130,30 @@ def mix_sources(
         .withColumn("before", F.coalesce(F.sum("size").over(stream), F.lit(0)))
         .withColumn("rounds", rounds)
         .withColumn("taken", (F.col("rounds") * F.col("size") + F.least(F.greatest(part, F.lit(0)), F.col("size"))).cast("long"))
-        .select("doc_id", "size", "source", "source_size", "target", "taken")
+        .select("doc_id", "size", "source", "source_size", "target", "taken", *["row" for _ in carried])
     )
 
 
 def apply_mix(documents: DataFrame, **parameters) -> DataFrame:
     """The mix as rows of ``documents``: one row for each whole round a document is taken, and one with
-    its first words for the rest; ``n_chars`` is that of the new text.  Rows of one ``doc_id`` share
-    its decision; they are expected to be one row or equal rows."""
-    mixed = mix_sources(documents, **parameters).groupBy(F.col("doc_id").alias("_id")).agg(F.max("size").alias("_size"), F.max("taken").alias("_taken"))
-    pieces = F.sequence(F.lit(1), F.ceil(F.col("_taken") / F.col("_size")).cast("int"))
-    rest = (F.col("_taken") - (F.col("_copy") - 1) * F.col("_size")).cast("int")
+    its first words for the rest; ``n_chars``, if there is such a column, is that of the new text.
+
+    Rows are numbered once they are written, and each follows its own decision, repeated rows and those without a doc_id
+    too, so a source has as many words as ``mix_sources`` takes.  A row without words is never taken.  An empty table
+    gives no rows.  All other columns come back as they are, whatever their names.
+    """
+    names = documents.columns
+    row, taken, size, copy = (free_name(names, n) for n in ("_row", "_taken", "_size", "_copy"))
+    rows = stored(documents.withColumn(row, F.monotonically_increasing_id()), "mix-rows")
+    mixed = mix_sources(rows, **parameters, row=row).where("taken > 0").select(F.col("row").alias("_mixed"), F.col("taken").alias(taken), F.col("size").alias(size))
+    pieces = F.sequence(F.lit(1), F.ceil(F.col(taken) / F.col(size)).cast("int"))
+    rest = (F.col(taken) - (F.col(copy) - 1) * F.col(size)).cast("int")
     start = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0)), F.lit(1), rest), "")
-    return (
-        documents.join(mixed.where("_taken > 0"), F.col("doc_id").eqNullSafe(F.col("_id")))
-        .withColumn("_copy", F.explode(pieces))
-        .withColumn("text", F.when(rest >= F.col("_size"), F.col("text")).otherwise(start))
-        .withColumn("n_chars", F.char_length("text").cast(documents.schema["n_chars"].dataType))
-        .select(*documents.columns)
-    )
+    out = rows.join(mixed, rows[row] == mixed["_mixed"]).withColumn(copy, F.explode(pieces))
+    out = out.withColumn("text", F.when(rest >= F.col(size), F.col("text")).otherwise(start))
+    if "n_chars" in names:
+        out = out.withColumn("n_chars", F.char_length("text").cast(documents.schema["n_chars"].dataType))
+    return out.select(*names)
 
 
 SQL = f"""

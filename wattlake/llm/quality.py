@@ -172,16 +172,18 @@ def fit_rules(values: np.ndarray, labels: np.ndarray, trees: int = TREES, depth:
 
 
 def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE, label: str = "quality") -> RuleModel:
-    """The model of the labelled rows outside the held-out fold, about ``sample`` of them at most.
+    """The model of the labelled rows outside the held-out fold, about ``sample`` doc_ids of them at most.
 
-    Rows without a label or whose doc_id is in no document teach nothing.  Of a repeated doc_id every
-    pair of rows counts.  Only statistics of the text are looked at."""
-    chosen = labels.where(F.col(label).isin(0, 1) & ~held_out(F.col("doc_id"))).select(F.col("doc_id").alias("_id"), F.col(label).alias("_label"))
+    Rows without a label or whose doc_id is in no document teach nothing.  A doc_id teaches once for each label it
+    has, by the text with the smallest hash if it is repeated, so neither the order of files nor copies matter.
+    Only statistics of the text are looked at."""
+    chosen = labels.where(F.col(label).isin(0, 1) & ~held_out(F.col("doc_id"))).select(F.col("doc_id").alias("_id"), F.col(label).alias("_label")).distinct()
     chosen = hash_sample(chosen, ["_id"], sample)
     stats = statistics(counts(F.col("text")))
+    found = F.struct(F.xxhash64("text").alias("_h"), *[stats[n].alias(n) for n in NAMES])
     rows = (
         documents.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))  # about `sample` rows of two numbers
-        .select("_id", "_label", *[stats[n].alias(n) for n in NAMES]).limit(4 * sample).collect()  # a doc_id may be repeated
+        .groupBy("_id", "_label").agg(F.min(found).alias("s")).select("_id", "_label", "s.*").drop("_h").collect()
     )
     rows.sort()
     values = np.array([[r[n] for n in NAMES] for r in rows], np.float64).reshape(-1, len(NAMES))

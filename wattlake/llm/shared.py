@@ -38,13 +38,21 @@ def new_path(spark: SparkSession, name: str) -> str:
     return work_path(spark, "llm", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared folder and read again: later jobs start from these files."""
+def stored(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+    """``df`` written to the shared folder, a folder per value of ``by``, and read again: later jobs start from these files."""
     spark, path = df.sparkSession, new_path(df.sparkSession, name)
-    df.write.parquet(path)
+    (df.write.partitionBy(by) if by else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_name(columns: list[str], name: str) -> str:
+    """``name``, with as many underscores before it as no column of ``columns`` has."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def hash_sample(df: DataFrame, columns: list[str], rows: int) -> DataFrame:
     """About ``rows`` rows of ``df`` (all, if it has no more), chosen by a hash of ``columns``."""
     count, parts = df.count(), 1 << 40

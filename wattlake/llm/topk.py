@@ -26,20 +26,40 @@ QUERY_STEP = 50
 BLOCK_ROWS = 256
 #: Blocks of a shard and queries of a group, about: what one task holds.
 SHARD_BLOCKS, GROUP_QUERIES = 128, 4096
-#: Components are clipped to this, so that sums stay exact.
-LARGEST = 1 << 27
+#: Scores and components are 64-bit numbers.
+LONG = (1 << 63) - 1
 
 
 def quantised(raw: np.ndarray) -> np.ndarray:
-    return np.clip(np.floor(SCALE * raw), -LARGEST, LARGEST).astype(np.int64)
+    scaled = np.floor(SCALE * raw)
+    if np.abs(scaled).max(initial=0) >= float(1 << 62):
+        raise OverflowError("a component is beyond 64 bits")
+    return scaled.astype(np.int64)
 
 
-def _inner(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Exact inner products of integer rows; doubles where they hold all sums exactly."""
+def _sums(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Exact inner products of integer rows: in doubles where these hold all sums exactly, in whole numbers of any
+    size where 64 bits may not."""
     top = float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) * a.shape[1]
     if top < 1 << 53:
         return (a.astype(np.float64) @ b.astype(np.float64).T).astype(np.int64)
-    return a @ b.T
+    return a @ b.T if top < 1 << 61 else a.astype(object) @ b.astype(object).T
+
+
+def _inner(a: np.ndarray, b: np.ndarray, out: np.ndarray) -> np.ndarray:
+    """Scores; where ``out`` holds there is none."""
+    sums = _sums(a, b)
+    sums[out] = 0
+    if sums.dtype == object and sums.size and max(sums.max(), -sums.min()) > LONG:
+        raise OverflowError("a score is beyond 64 bits")
+    return sums.astype(np.int64)
+
+
+def _bounds(queries: np.ndarray, blocks: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """No score of a block is larger; bounds beyond 64 bits end there."""
+    up, down = np.maximum(queries, 0), np.minimum(queries, 0)
+    sums = _sums(up, np.stack([r.max(0) for _, r in blocks])) + _sums(down, np.stack([r.min(0) for _, r in blocks]))
+    return np.clip(sums, -LONG, LONG).astype(np.int64)
 
 
 def search_blocks(queries: np.ndarray, query_ids: np.ndarray, blocks: list[tuple[np.ndarray, np.ndarray]], k: int):
@@ -50,8 +70,7 @@ def search_blocks(queries: np.ndarray, query_ids: np.ndarray, blocks: list[tuple
     scores, ids = np.full((n, k), none), np.full((n, k), -1, np.int64)
     if not blocks:
         return scores, ids, 0
-    up, down = np.maximum(queries, 0), np.minimum(queries, 0)
-    bound = _inner(up, np.stack([r.max(0) for _, r in blocks])) + _inner(down, np.stack([r.min(0) for _, r in blocks]))
+    bound = _bounds(queries, blocks)
     order = np.argsort(-bound, 1, kind="stable")
     live, scored = np.arange(n), 0
     for turn in range(len(blocks)):
@@ -64,9 +83,10 @@ def search_blocks(queries: np.ndarray, query_ids: np.ndarray, blocks: list[tuple
         for b in np.unique(chosen):
             who = live[chosen == b]
             own_ids, rows = blocks[b]
-            found = _inner(queries[who], rows)
+            own = query_ids[who][:, None] == own_ids[None, :]
+            found = _inner(queries[who], rows, own)
             scored += found.size
-            found[query_ids[who][:, None] == own_ids[None, :]] = none
+            found[own] = none
             better = (found >= scores[who, -1:]).any(1)
             who, found = who[better], found[better]
             if not len(who):
@@ -85,7 +105,7 @@ def _packed(rows: DataFrame, vector: str, most: int) -> DataFrame:
     def pack_up(ids: np.ndarray, raw: np.ndarray, name: int) -> pa.RecordBatch:
         numbers = quantised(raw)
         return pa.RecordBatch.from_arrays(
-            [pa.array([name], pa.int64()), pa.array([raw.shape[1]], pa.int32()), pa.array([ids.tolist()], pa.list_(pa.int64())), pa.array([numbers.astype("<i4").tobytes()], pa.binary())],
+            [pa.array([name], pa.int64()), pa.array([raw.shape[1]], pa.int32()), pa.array([ids.tolist()], pa.list_(pa.int64())), pa.array([numbers.astype("<i8").tobytes()], pa.binary())],
             ["pack", "dims", "ids", "numbers"],
         )
 
@@ -120,7 +140,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, vector: str = "emb
     Components become floor(256 * x); the score is their integer inner product, ties go to the smaller
     vec_id.  A row with the query's own vec_id is no candidate, nor is one of another length.  Vectors
     that are null or empty or hold null or non-finite components take no part, nor do rows without
-    a vec_id; zero vectors do.  Repeated rows are candidates each; of a repeated query id the
+    a vec_id; zero vectors do.  Sums are exact; a component or a score beyond 64 bits raises an error.  Repeated rows are candidates each; of a repeated query id the
     smallest vector asks.  Fewer candidates than ``k`` are all returned.  Other columns are not looked at.
     """
     spark = vectors.sparkSession
@@ -139,7 +159,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, vector: str = "emb
 
     def run(part: pa.Table) -> pa.Table:
         packs = [
-            (asks, d, np.asarray(i, np.int64), np.frombuffer(b, "<i4").reshape(-1, d).astype(np.int64))
+            (asks, d, np.asarray(i, np.int64), np.frombuffer(b, "<i8").reshape(-1, d))
             for asks, i, b, d in zip(*(part.column(c).to_pylist() for c in ("asks", "ids", "numbers", "dims")), strict=True)
         ]
         out = [(np.zeros(0, np.int64),) * 3]

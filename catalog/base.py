@@ -39,12 +39,18 @@ def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work(spark, sf_dir, "silver")
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _WRITTEN:
-        build_silver(spark, raw(spark, sf_dir), work(spark, sf_dir, "stage"), path)
+        build_silver(spark, raw(spark, sf_dir), work(spark, sf_dir, "stage"), path, index_path=work(spark, sf_dir, "seconds"))
         _WRITTEN.add(key)
     _READERS[(id(spark), sf_dir)] = (spark, read_silver(spark, path))
     return _READERS[(id(spark), sf_dir)][1]
 
 
+def seconds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The time index written with silver."""
+    silver(spark, sf_dir)
+    return spark.read.schema("second timestamp_ntz, n long, latest timestamp_ntz").parquet(work(spark, sf_dir, "seconds"))
+
+
 def stage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The deduplicated rows, written on the way to silver."""
     silver(spark, sf_dir)

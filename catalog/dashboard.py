@@ -143,19 +143,15 @@ _NAMES = ("CASE max({p}) WHEN 4 THEN 'Critical' WHEN 3 THEN 'High Risk' WHEN 2 T
           "ELSE 'Normal' END").format(p=PRIORITY)
 _TABLE = f"SELECT {TK}, {four(_AVGS)}, max(risk_score) AS max_risk, {_NAMES} AS status FROM silver {{w}} GROUP BY {TK}"
 register("a48_transformer_table", on_silver(_TABLE.format(w="")), digits=4)(dashboard.transformer_table)
-register("q09_sorted_transformer_table", on_silver(
-    f"""SELECT * EXCLUDE (avg_temp_raw), CAST(row_number() OVER (ORDER BY avg_temp_raw, transformer_id) AS INTEGER) AS position
-    FROM (SELECT {TK}, avg(temperature_c) AS avg_temp_raw, {four(_AVGS)} FROM silver
-    WHERE lower(transformer_id) LIKE '%00002%' GROUP BY {TK})"""), digits=4)(
-    lambda df: _with_position(filters.sort_table(
-        filters.search_transformers(dashboard.transformer_table(df), "00002"), "Temperature", ascending=True)))
-
-
-def _with_position(sorted_table):
-    from pyspark.sql import Window, functions as F
-
-    order = Window.orderBy("avg_temp", "transformer_id")
-    return sorted_table.withColumn("position", F.row_number().over(order)).drop("max_risk", "status")
+_POSITIONS = f"""SELECT * EXCLUDE (avg_temp_raw), row_number() OVER (ORDER BY avg_temp_raw, transformer_id) AS position
+    FROM (SELECT {TK}, avg(temperature_c) AS avg_temp_raw, {four(_AVGS)} FROM silver {{w}} GROUP BY {TK})"""
+for _name, _text, _where in (
+    ("q09_sorted_transformer_table", "00002", "WHERE lower(transformer_id) LIKE '%00002%'"), ("q09_sorted_transformer_table_all", "", ""),
+):
+    register(_name, on_silver(_POSITIONS.format(w=_where)), digits=4)(
+        lambda df, text=_text: filters.positioned(
+            filters.search_transformers(dashboard.transformer_table(df), text), "Temperature", ascending=True
+        ).drop("max_risk", "status"))
 
 
 register("a50_system_status", on_silver("""SELECT CASE WHEN count(*) > 0 THEN 'All Systems Operational'

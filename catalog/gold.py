@@ -104,6 +104,15 @@ def _(df):
     return gold.with_dominant_type(counted, df.filter("risk_score >= 97"))
 
 
+@register("j01_summary_with_dominant_type_all", on_silver(
+    f"""SELECT transformer_id, n, coalesce(dominant_anomaly_type, 'Normal') AS dominant_anomaly_type
+      FROM (SELECT transformer_id, count(*) AS n FROM silver GROUP BY 1) LEFT JOIN ({DOMINANT.format(src="silver")}) USING (transformer_id)"""))
+def _(df):
+    from pyspark.sql import functions as F
+
+    return gold.with_dominant_type(df.groupBy("transformer_id").agg(F.count(F.lit(1)).alias("n")), df)
+
+
 @register("q11_critical_subset", on_silver(
     "SELECT event_id, transformer_id, risk_score FROM silver WHERE risk_score >= 85"))
 def _(df):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.base import SPLIT_CTES, band, on_silver, register, rs, selection
+from catalog.base import SPLIT_CTES, band, on_silver, register, rs, seconds, selection, silver
 from catalog.gold import ANOMALY_SQL, FAULTS, HOURLY_SQL, transformer_full, TK
 from wattlake.operators import filters, service, trends
 from wattlake.operators.filters import FilterSpec
@@ -196,11 +196,11 @@ _TREND_PARTS = {
 TREND_CTES = f"""{SPLIT_CTES},
 tr AS (SELECT {', '.join(f'CASE WHEN count(*) >= 10 THEN {e} ELSE 0 END AS {a}' for a, e in _TREND_PARTS.items())}
   FROM split)"""
-register("w03_trends", on_silver("SELECT * EXCLUDE (transformer_trend) FROM tr", selection() + ",\n" + TREND_CTES))(
-    lambda df: trends.trends(df).drop("transformer_trend"))
+register("w03_trends", on_silver("SELECT * EXCLUDE (transformer_trend) FROM tr", selection() + ",\n" + TREND_CTES), source="none")(
+    lambda spark, sf_dir: trends.trends(silver(spark, sf_dir), index=seconds(spark, sf_dir)).drop("transformer_trend"))
 register("w03_recent_split", on_silver("SELECT event_id, recent AS is_recent FROM split",
-                                       selection() + ",\n" + SPLIT_CTES))(
-    lambda df: trends.mark_recent(df).select("event_id", "is_recent"))
+                                       selection() + ",\n" + SPLIT_CTES), source="none")(
+    lambda spark, sf_dir: trends.mark_recent(silver(spark, sf_dir), index=seconds(spark, sf_dir)).select("event_id", "is_recent"))
 register("w03_trends_few_rows", on_silver(
     "SELECT * FROM tr", selection("region = 'ASIA' AND risk_score >= 99", 24) + ",\n" + TREND_CTES))(
     lambda df: trends.trends(df.filter("region = 'ASIA' AND risk_score >= 99").transform(
@@ -210,8 +210,8 @@ register("w04_critical_transformer_trend", on_silver(
     lambda df: trends.trends(filters.newest_within(df, 24)).select("transformer_trend"))
 
 register("w04_critical_transformer_trend_all_rows", on_silver(
-    "SELECT transformer_trend FROM tr", selection() + ",\n" + TREND_CTES))(
-    lambda df: trends.trends(df).select("transformer_trend"))
+    "SELECT transformer_trend FROM tr", selection() + ",\n" + TREND_CTES), source="none")(
+    lambda spark, sf_dir: trends.trends(silver(spark, sf_dir), index=seconds(spark, sf_dir)).select("transformer_trend"))
 
 _SUMMARY = f"""SELECT coalesce({rs('(SELECT sum(energy_generated_mwh) FROM sel)', 1)}, 0) AS total_generation_mw,
     coalesce({rs('(SELECT sum(energy_consumed_mwh) FROM sel)', 1)}, 0) AS total_consumption_mw,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from catalog.base import hash32, on_silver, register, rh, rs, selection, silver
+from catalog.base import hash32, on_silver, register, rh, rs, seconds, selection, silver
 from catalog.dashboard import HOUR, four
 from catalog.gold import FAULTS
 from wattlake.operators import filters, forecast, sampling, service, topology, trends
@@ -116,8 +116,8 @@ register("u03_set_difference_all_rows", on_silver("""SELECT transformer_id FROM
     lambda df: topology.set_difference(
         df.select("transformer_id"), df.filter("risk_score >= 85").select("transformer_id")))
 register("s11_newest_rows", on_silver("""SELECT event_id, "timestamp", risk_score FROM silver
-    ORDER BY "timestamp" DESC, """ + hash32("event_id") + """ // 4096 DESC, event_id DESC LIMIT 40000"""))(
-    lambda df: trends.newest(df, 40000).select("event_id", "timestamp", "risk_score"))
+    ORDER BY "timestamp" DESC, """ + hash32("event_id") + """ // 4096 DESC, event_id DESC LIMIT 40000"""), source="none")(
+    lambda spark, sf_dir: trends.newest(silver(spark, sf_dir), 40000, seconds(spark, sf_dir)).select("event_id", "timestamp", "risk_score"))
 
 # --- samples and projections ------------------------------------------------------------------
 _HASH = "md5(event_id || '#42'), event_id"

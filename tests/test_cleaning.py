@@ -124,3 +124,31 @@ def test_brackets_stay_small_on_skewed_values(spark):
         ranked = bracket_values(df, found).groupBy("name").count().collect()
         assert all(r["count"] <= MOST for r in ranked)
     df.unpersist()
+
+
+def test_brackets_between_heavy_ends(spark):
+    """Half zeros, half ones and few values between them: the last window sees few values, and the quantile is exact."""
+    from pyspark.sql import functions as F
+
+    from wattlake.operators.quantiles import bracket_values, brackets, exact_quantiles
+
+    import numpy as np
+
+    n = 40_000
+    between = (F.col("id") - 19_900) / 1000.0
+    shapes = {
+        "middle": F.when(F.col("id") < 19_900, 0.0).when(F.col("id") >= 20_100, 1.0).otherwise(between),
+        "low_end": F.when(F.col("id") < 20_000, 0.0).otherwise(1.0 + F.col("id") % 7),
+        "high_end": F.when(F.col("id") < 19_999, F.col("id") % 5 - 9.0).otherwise(3.0),
+        "steps": F.floor(F.col("id") / 400).cast("double"),
+        "one": F.lit(2.5),
+    }
+    df = spark.range(n).select(*[c.alias(name) for name, c in shapes.items()]).repartition(4)
+    found = brackets(df, list(shapes), 0.5, most=50)
+    seen = {r["name"]: r["count"] for r in bracket_values(df, found).groupBy("name").count().collect()}
+    assert all(k <= 50 for k in seen.values()), seen
+    for fraction in (0.0, 0.25, 0.4975, 0.5, 0.9, 1.0):
+        got = exact_quantiles(df, list(shapes), fraction).first()
+        want = df.toPandas()
+        for name in shapes:
+            assert got[name] == float(np.quantile(want[name], fraction)), (name, fraction)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattlake.functions.times import hours
+from wattlake.operators.ranks import with_position
 from wattlake.schema import NORMAL
 from wattlake.sources.dimensions import constant_frame
 
@@ -157,13 +158,22 @@ def search_transformers(df: DataFrame, text: str) -> DataFrame:
     return df.filter(F.lower("transformer_id").contains(text.lower())) if text else df
 
 
-def sort_table(df: DataFrame, by: str = "Risk", ascending: bool = False) -> DataFrame:
-    """Sort by a display name; unknown names sort by risk. Ties follow the id."""
+def _display_order(by: str, ascending: bool) -> list[Column]:
     columns = {
         "ID": "transformer_id", "Risk": "max_risk", "Load": "avg_load", "Temperature": "avg_temp", "Status": "status",
     }
     key = F.col(columns.get(by, "max_risk"))
-    return df.orderBy(key.asc() if ascending else key.desc(), "transformer_id")
+    return [key.asc() if ascending else key.desc(), F.col("transformer_id").asc()]
+
+
+def sort_table(df: DataFrame, by: str = "Risk", ascending: bool = False) -> DataFrame:
+    """Sort by a display name; unknown names sort by risk. Ties follow the id."""
+    return df.orderBy(*_display_order(by, ascending))
+
+
+def positioned(df: DataFrame, by: str = "Risk", ascending: bool = False) -> DataFrame:
+    """The same order as a column ``position``, for tables of any size; rows come in no order."""
+    return with_position(df, _display_order(by, ascending)).withColumn("position", F.col("position").cast("long"))
 
 
 def anomalous_rows(df: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ from wattlake.operators.filters import FilterSpec, apply_service_filters, flagge
 from wattlake.operators.rollup import (
     Measure, avg, distinct, distinct_where, peak, rollup, rows, rows_where, total,
 )
-from wattlake.operators.trends import trends
+from wattlake.operators.trends import mark_recent, split_measures, trend_columns
 from wattlake.schema import STATUSES, SUBSTATION_KEYS
 
 ALL = FilterSpec()
@@ -173,7 +173,7 @@ def grid_health(df: DataFrame, spec: FilterSpec = ALL) -> DataFrame:
 
 
 def summary(df: DataFrame, spec: FilterSpec = FilterSpec(time_range="24h")) -> DataFrame:
-    """One row of headline numbers: one aggregation for the values, one for the trends."""
+    """One row of headline numbers: values and trends from one aggregation of the marked rows."""
     filtered = apply_service_filters(df, spec)
     measures = _health_measures() + [
         total("generation", "energy_generated_mwh"),
@@ -182,7 +182,8 @@ def summary(df: DataFrame, spec: FilterSpec = FilterSpec(time_range="24h")) -> D
         total("faults", "fault_indicator"),
         total("flags", "anomaly_flag"),
     ]
-    facts = rollup(filtered, [], measures).crossJoin(F.broadcast(trends(filtered)))
+    facts = rollup(mark_recent(filtered), [], measures + split_measures())
+    change = trend_columns()
 
     def or_zero(c: str, zero=0.0) -> Column:
         return F.coalesce(F.col(c), F.lit(zero))
@@ -196,6 +197,6 @@ def summary(df: DataFrame, spec: FilterSpec = FilterSpec(time_range="24h")) -> D
         or_zero("flags", 0).alias("anomalies_detected"),
         "critical_transformers",
         _health_expressions()["health_score"].alias("grid_health_score"),
-        "generation_trend", "consumption_trend", "load_trend", "transformer_trend", "fault_trend", "anomaly_trend",
+        *[c.alias(k) for k, c in change.items()],
         F.col("n").alias("records_today"),
     )

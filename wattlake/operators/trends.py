@@ -2,111 +2,45 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wattlake.functions.picks import hash32
 from wattlake.functions.rounding import round_stable
-from wattlake.functions.times import floor_hour, hours
+from wattlake.functions.times import hours
+from wattlake.operators.rollup import Measure, distinct_where, rollup, rows, rows_where, total
 from wattlake.operators.sampling import smallest_hashes
+from wattlake.operators.timeindex import at_or_after, boundary, from_boundary, time_index
 
 TREND_LIMIT = 50.0
 
 
-def _narrow(rows: DataFrame, key: Column, name: str) -> DataFrame:
-    """Find the value of ``key`` that holds the wanted rank among ``rows``.
-
-    ``rows`` carry the one-row state (``target``, ``before`` and earlier findings) as
-    columns.  They are counted per key with map-side combine and only the counts pass
-    through the window.  The result is the next one-row state.
-    """
-    state = [c for c in rows.columns if c.startswith("_")]
-    counted = rows.groupBy(*state, key.alias(name)).agg(F.count(F.lit(1)).alias("n"))
-    return _holding_rank(counted, [c for c in state if c != "_before"], name)
-
-
-def _holding_rank(counted: DataFrame, state: list[str], name: str) -> DataFrame:
-    upto = F.col("_before") + F.sum("n").over(Window.orderBy(name))
-    return (
-        counted.withColumn("upto", upto)
-        .filter((F.col("upto") > F.col("_target")) & (F.col("upto") - F.col("n") <= F.col("_target")))
-        .select(*state, name, (F.col("upto") - F.col("n")).alias("_before"))
-    )
-
-
-def rank_boundary(df: DataFrame, target: Callable[[Column], Column]) -> DataFrame:
-    """One row with the time, hash slice and id of the row at rank ``target(number of rows)``, oldest first.
-
-    Rows are ranked by time, then by a hash of the event id, then by the id.  No global
-    sort and no single-task ranking is needed: the boundary is found by counting rows per
-    hour, per second inside that hour (3,600 at most), per microsecond inside that second (a
-    million at most), then per hash slice among the rows sharing that timestamp (a million at
-    most), and only that slice is ordered.  Even when a third of all rows share one timestamp
-    the ordered slice is about a millionth of them, provided that event ids are distinct (rows
-    after ``dedup``).  A null id counts as an empty one.
-    """
-    ts = F.col("timestamp")
-    keyed = df.select("timestamp", _id().alias("event_id")).filter(ts.isNotNull())
-    per_hour = keyed.groupBy(floor_hour(ts).alias("_hour")).agg(F.count(F.lit(1)).alias("n"))
-    everything = F.sum("n").over(Window.partitionBy())
-    per_hour = per_hour.select(
-        "_hour", "n", target(everything).cast("bigint").alias("_target"), F.lit(0).alias("_before")
-    )
-    hour = _holding_rank(per_hour, ["_target"], "_hour")
-    in_hour = keyed.crossJoin(F.broadcast(hour)).filter((ts >= F.col("_hour")) & (ts < F.col("_hour") + hours(1)))
-    second = _narrow(in_hour, F.date_trunc("second", ts).cast("timestamp_ntz"), "_second")
-    in_second = keyed.crossJoin(F.broadcast(second)).filter(
-        (ts >= F.col("_second")) & (ts < F.col("_second") + F.make_dt_interval(secs=F.lit(1)))
-    )
-    stamp = _narrow(in_second, ts, "_stamp")
-    part = _narrow(keyed.join(F.broadcast(stamp), ts == F.col("_stamp")), _slice(), "_part")
-    tied = keyed.join(F.broadcast(part), (ts == F.col("_stamp")) & (_slice() == F.col("_part")))
-    rank = F.col("_before") + F.row_number().over(Window.orderBy("event_id")) - 1
-    return tied.withColumn("rank", rank).filter(F.col("rank") == F.col("_target")).select(
-        "_stamp", "_part", F.col("event_id").alias("_event")
-    )
-
-
-def _id() -> Column:
-    return F.coalesce(F.col("event_id"), F.lit(""))
-
-
-def _slice() -> Column:
-    return F.shiftright(hash32(_id()), 12)
-
-
-def _at_or_after() -> Column:
-    """Condition on rows joined with the one row of ``rank_boundary``."""
-    ts, part = F.col("timestamp"), _slice()
-    tie = (part > F.col("_part")) | ((part == F.col("_part")) & (_id() >= F.col("_event")))
-    return (ts > F.col("_stamp")) | ((ts == F.col("_stamp")) & tie)
-
-
-def mark_recent(df: DataFrame, share: float = 0.8) -> DataFrame:
+def mark_recent(df: DataFrame, share: float = 0.8, index: DataFrame | None = None) -> DataFrame:
     """Add ``is_recent``: false for the oldest ``int(share * n)`` rows, true for the rest.
 
-    Rows without a timestamp are not ranked and count as recent.
+    Rows without a timestamp are not ranked and count as recent.  ``index`` is the stored ``time_index`` of ``df``.  The
+    boundary is found when this is called; the rows themselves are only compared with it.
     """
-    boundary = rank_boundary(df, lambda n: F.floor(n * F.lit(float(share))))
-    marked = df.join(F.broadcast(boundary), F.lit(True), "left")
-    recent = F.coalesce(_at_or_after(), F.lit(True))
-    return marked.withColumn("is_recent", recent).drop("_stamp", "_part", "_event")
+    found = boundary(df, lambda n: F.floor(n * F.lit(float(share))), index)
+    recent = F.lit(True) if found is None else F.coalesce(at_or_after(found), F.lit(True))
+    return df.withColumn("is_recent", recent)
 
 
-def newest(df: DataFrame, n: int = 50000) -> DataFrame:
+def newest(df: DataFrame, n: int = 50000, index: DataFrame | None = None) -> DataFrame:
     """The ``n`` newest rows, found by their boundary and not by a top-n through one task.
 
-    Rows without a timestamp come last: they fill up what is left of ``n``, in hash order.
+    With the stored ``index`` of a table partitioned by day, older days aren't read.  Rows without a timestamp come last:
+    they fill up what is left of ``n``, in hash order.
     """
-    boundary = rank_boundary(df, lambda total: F.greatest(total - n, F.lit(0)))
-    dated = df.crossJoin(F.broadcast(boundary)).filter(_at_or_after()).select(*df.columns)
-    room = F.lit(n) - df.filter(F.col("timestamp").isNotNull()).agg(F.count(F.lit(1))).scalar()
+    seconds = time_index(df) if index is None else index
+    dated = seconds.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    found = boundary(df, lambda total: F.greatest(total - n, F.lit(0)), seconds)
+    rows = df.filter(F.lit(False)) if found is None else from_boundary(df, found)
+    if dated >= n:
+        return rows
     undated = smallest_hashes(df.filter(F.col("timestamp").isNull()), n)
     rank = F.row_number().over(Window.orderBy("_order", "event_id"))  # n rows at most
-    filling = undated.withColumn("_rank", rank).filter(F.col("_rank") <= room)
-    return dated.unionByName(filling.select(*df.columns))
+    filling = undated.withColumn("_rank", rank).filter(F.col("_rank") <= n - dated)
+    return rows.unionByName(filling.select(*df.columns))
 
 
 def percent_change(recent: Column, earlier: Column, limit: float | None = TREND_LIMIT) -> Column:
@@ -117,31 +51,22 @@ def percent_change(recent: Column, earlier: Column, limit: float | None = TREND_
     return round_stable(F.coalesce(change, F.lit(0.0)), 1)
 
 
-def split_metrics(marked: DataFrame) -> DataFrame:
-    """One row of sums, means and distinct critical transformers on each side of the split."""
-    recent, earlier = F.col("is_recent"), ~F.col("is_recent")
+_SUMMED = ("energy_generated_mwh", "energy_consumed_mwh", "load_percent")
 
-    def both(name: str, fn, value: str) -> list[Column]:
-        return [fn(F.when(side, F.col(value))).alias(f"{name}_{tag}")
-                for tag, side in (("recent", recent), ("earlier", earlier))]
 
-    critical = F.col("status") == "Critical"
-    per_transformer = marked.groupBy("transformer_id").agg(
-        F.count(F.lit(1)).alias("n"),
-        *[c for value in ("energy_generated_mwh", "energy_consumed_mwh", "load_percent")
-          for c in both(f"{value}_sum", F.sum, value) + both(f"{value}_n", F.count, value)],
-        *both("fault_indicator_sum", F.sum, "fault_indicator"),
-        *both("anomaly_flag_sum", F.sum, "anomaly_flag"),
-        F.max(F.when(critical & recent, 1)).alias("critical_recent"),
-        F.max(F.when(critical & earlier, 1)).alias("critical_earlier"),
-    )
-    skip = {"transformer_id"}
-    return per_transformer.agg(*[F.sum(c).alias(c) for c in per_transformer.columns if c not in skip])
+def split_measures() -> list[Measure]:
+    """Sums, counts and distinct critical transformers on each side of ``is_recent``."""
+    out = []
+    for tag, side in (("recent", F.col("is_recent")), ("earlier", ~F.col("is_recent"))):
+        for value in _SUMMED:
+            out += [total(f"{value}_sum_{tag}", F.when(side, F.col(value))), rows_where(f"{value}_n_{tag}", side & F.col(value).isNotNull())]
+        out += [total(f"{value}_sum_{tag}", F.when(side, F.col(value))) for value in ("fault_indicator", "anomaly_flag")]
+        out.append(distinct_where(f"critical_{tag}", "transformer_id", (F.col("status") == "Critical") & side))
+    return out
 
 
-def trends(df: DataFrame, min_rows: int = 10) -> DataFrame:
-    """One row of six percentage trends; all 0 below ``min_rows`` rows, too few to compare."""
-    facts = split_metrics(mark_recent(df))
+def trend_columns(min_rows: int = 10) -> dict[str, Column]:
+    """The six trends from ``split_measures`` and the number of rows ``n``; all 0 below ``min_rows`` rows."""
 
     def mean(value: str, side: str) -> Column:
         return F.try_divide(F.col(f"{value}_sum_{side}").cast("double"), F.col(f"{value}_n_{side}"))
@@ -163,7 +88,13 @@ def trends(df: DataFrame, min_rows: int = 10) -> DataFrame:
         "anomaly_trend": trend_of_sum("anomaly_flag"),
     }
     enough = F.coalesce(F.col("n"), F.lit(0)) >= min_rows
-    return facts.select(*[F.when(enough, v).otherwise(0.0).alias(k) for k, v in values.items()])
+    return {k: F.when(enough, v).otherwise(0.0) for k, v in values.items()}
+
+
+def trends(df: DataFrame, min_rows: int = 10, index: DataFrame | None = None) -> DataFrame:
+    """One row of six percentage trends, from one pass over ``df`` besides its boundary second."""
+    facts = rollup(mark_recent(df, index=index), [], [rows("n"), *split_measures()])
+    return facts.select(*[c.alias(k) for k, c in trend_columns(min_rows).items()])
 
 
 def with_latest(df: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from wattlake.operators import cleaning
 from wattlake.operators.quantiles import exact_quantiles
+from wattlake.operators.timeindex import time_index
 from wattlake.schema import IMPUTED_COLUMNS, PARTITION_COLUMN, SILVER_SCHEMA, TELEMETRY_SCHEMA
 from wattlake.sources.dimensions import settled
 
@@ -37,7 +38,7 @@ def build_bronze(spark: SparkSession, raw: DataFrame, path: str, batch: str = "b
 
 
 def build_silver(
-    spark: SparkSession, bronze: DataFrame, stage_path: str, silver_path: str, profile: str = "default"
+    spark: SparkSession, bronze: DataFrame, stage_path: str, silver_path: str, profile: str = "default", index_path: str | None = None
 ) -> DataFrame:
     """Write the silver table, partitioned by day, and return a reader of it.
 
@@ -45,6 +46,7 @@ def build_silver(
     rows each read that table (medians and means only their own columns) instead of
     shuffling the raw rows three times.  The stage also survives the loss of executors.
     Medians and means, one row each, become constants of the final projection.
+    ``index_path`` gets the counts of rows by second (see ``timeindex``), for boundaries in time.
     """
     write_layer(cleaning.dedup(bronze), stage_path)
     stage = spark.read.schema(TELEMETRY_SCHEMA).parquet(stage_path)
@@ -52,7 +54,10 @@ def build_silver(
     scored = cleaning.add_zscores(cleaned, settled(cleaning.zscore_statistics(cleaned)))
     final = cleaning.project_final(cleaning.silver_metadata(scored))
     write_layer(final.withColumn(PARTITION_COLUMN, F.to_date("timestamp")), silver_path, PARTITION_COLUMN)
-    return read_silver(spark, silver_path)
+    silver = read_silver(spark, silver_path)
+    if index_path is not None:
+        write_layer(time_index(silver), index_path)
+    return silver
 
 
 def read_silver(spark: SparkSession, path: str) -> DataFrame:

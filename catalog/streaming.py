@@ -10,7 +10,7 @@ from catalog.topology import DIM_CTES
 from wattlake.operators import dashboard
 from wattlake.schema import STREAM_COLUMNS
 from wattlake.sources.dimensions import substation_dimension
-from wattlake.streaming import ingest
+from wattlake.streaming import ingest, once
 
 _DONE: set[tuple[str, str]] = set()
 
@@ -98,6 +98,22 @@ def _(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+@register("st4_published_totals", on_sink("""SELECT count(*) AS received, count(*) AS processed,
+    count(*) FILTER (s <> 'Normal') AS anomalies, max("timestamp") AS last_ts FROM sk"""), source="none")
+def _(spark, sf_dir):
+    """All sinks from one read; the totals as a dashboard reads them while they are written."""
+    folder = work(spark, sf_dir, "stream/once")
+    once.ingest_once(spark, events_dir(spark, sf_dir), folder, f"{folder}/checkpoint", None, 4).awaitTermination()
+    return once.published(spark, f"{folder}/totals")
+
+
+@register("st3_events_from_one_read", on_sink("SELECT event_id, s AS status FROM sk"), source="none")
+def _(spark, sf_dir):
+    folder = work(spark, sf_dir, "stream/once")
+    once.ingest_once(spark, events_dir(spark, sf_dir), folder, f"{folder}/checkpoint", None, 4).awaitTermination()
+    return spark.read.parquet(f"{folder}/events").select("event_id", "status")
+
+
 @register("st5_end_summary", on_sink("""SELECT count(*) AS events_processed,
     count(*) FILTER (s <> 'Normal') AS anomalies_detected, max("timestamp") AS last_event_ts FROM sk"""), source="none")
 def _(spark, sf_dir):

@@ -218,19 +218,25 @@ def score_rows(df: DataFrame, forest: Forest) -> DataFrame:
     return df.withColumn("iso_score", _scorer(df.sparkSession, forest)(*scaled))
 
 
-def flag_scores(scored: DataFrame, contamination: float = 0.12) -> DataFrame:
+def score_bounds(scored: DataFrame, contamination: float = 0.12) -> DataFrame:
+    """One row: ``cut``, the exact quantile that leaves ``contamination`` of the rows above it, and both ends."""
+    cut = exact_quantiles(scored, ["iso_score"], 1.0 - contamination).select(F.col("iso_score").alias("cut"))
+    ends = scored.agg(F.min("iso_score").alias("lo"), F.max("iso_score").alias("hi"))
+    return cut.crossJoin(F.broadcast(ends))
+
+
+def flag_scores(scored: DataFrame, contamination: float = 0.12, bounds: DataFrame | None = None) -> DataFrame:
     """Prediction, flag and 0-1 score from ``iso_score``.
 
-    The cut is the exact quantile that leaves ``contamination`` of the rows above it;
-    the normalised score is 1 minus the min-max scaled decision value.
+    ``bounds`` is the row of ``score_bounds`` if it is known already.  The normalised score is 1 minus
+    the min-max scaled decision value.
     """
-    cut = exact_quantiles(scored, ["iso_score"], 1.0 - contamination).select(F.col("iso_score").alias("_cut"))
-    ends = scored.agg(F.min("iso_score").alias("_lo"), F.max("iso_score").alias("_hi"))
+    known = score_bounds(scored, contamination) if bounds is None else bounds
+    row = known.select(*[F.col(c).alias(f"_{c}") for c in ("cut", "lo", "hi")])
     isolated = F.col("iso_score") > F.col("_cut")
     normal = F.lit(1.0) - (F.col("_hi") - F.col("iso_score")) / (F.col("_hi") - F.col("_lo") + F.lit(1e-10))
     return (
-        scored.crossJoin(F.broadcast(cut))
-        .crossJoin(F.broadcast(ends))
+        scored.crossJoin(F.broadcast(row))
         .withColumns(
             {
                 "anomaly_prediction": F.when(isolated, -1).otherwise(1),
@@ -262,9 +268,9 @@ def rescore(df: DataFrame) -> DataFrame:
     return with_rule_risk(df).withColumn("status", risk_band(F.col("risk_score")))
 
 
-def apply_scores(scored: DataFrame, contamination: float = 0.12) -> DataFrame:
+def apply_scores(scored: DataFrame, contamination: float = 0.12, bounds: DataFrame | None = None) -> DataFrame:
     """Everything after scoring: flag, blend, relabel, rescore."""
-    return rescore(relabel(blend_scores(flag_scores(scored, contamination))))
+    return rescore(relabel(blend_scores(flag_scores(scored, contamination, bounds))))
 
 
 # --- reports ----------------------------------------------------------------------------------

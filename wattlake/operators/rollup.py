@@ -5,6 +5,9 @@ distinct column.  ``rollup`` groups first by the keys plus the counted columns (
 combine down to, say, one row per transformer), keeping sums and counts, and combines
 those few rows in a second step where the distinct counts are cheap.  A key holding a
 third of all rows costs each map task only one partial row.
+
+Totals and means of doubles are exact (``functions.exact``): one partition and a thousand, one
+step and two, give the same digits.
 """
 
 from __future__ import annotations
@@ -14,6 +17,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wattlake.functions.exact import exact_avg, exact_parts, exact_sum, merged
+
+EXACT = ("thousandths", "rest", "beyond")
+
 
 @dataclass(frozen=True)
 class Measure:
@@ -69,7 +76,16 @@ def _column(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
-def _direct(m: Measure) -> Column:
+def _doubles(df: DataFrame, measures: list[Measure]) -> set[str]:
+    """Aliases of the totals and means over doubles, which are added exactly."""
+    added = [m for m in measures if m.kind in ("sum", "avg")]
+    types = df.select(*[_column(m.value).alias(m.alias) for m in added]).dtypes if added else []
+    return {name for name, kind in types if kind in ("double", "float")}
+
+
+def _direct(m: Measure, exact: bool) -> Column:
+    if exact:
+        return (exact_sum if m.kind == "sum" else exact_avg)(_column(m.value))
     fn = {"avg": F.avg, "sum": F.sum, "max": F.max, "min": F.min, "count": F.count}[m.kind]
     return fn(_column(m.value))
 
@@ -86,25 +102,29 @@ def _inner_keys(keys: list[str], measures: list[Measure]) -> list[str]:
     return keys + [c for c in _counted(measures) if c not in keys]
 
 
-def _parts(m: Measure) -> dict[str, tuple[Column, str]]:
+def _parts(m: Measure, exact: bool) -> dict[str, tuple[Column, str]]:
     """Partial columns of a measure over raw rows, and how each of them merges."""
     p = f"_{m.alias}"
+    count = {f"{p}_n": (F.count(_column(m.value)), "sum")} if m.kind == "avg" else {}
+    if exact:
+        return {f"{p}_{part}": (expr, "sum") for part, expr in exact_parts(_column(m.value)).items()} | count
     if m.kind == "avg":
-        return {p: (F.sum(_column(m.value)), "sum"), f"{p}_n": (F.count(_column(m.value)), "sum")}
+        return {p: (F.sum(_column(m.value)), "sum")} | count
     if m.kind == "distinct":
         return {} if m.condition is None else {p: (F.max(F.when(m.condition, 1)), "max")}
     if m.kind == "mode":
         return {p: (F.count(F.when(m.condition, 1)), "sum")}
     if m.kind == "count":
         return {p: (F.count(_column(m.value)), "sum")}
-    return {p: (_direct(m), m.kind)}
+    return {p: (_direct(m, False), m.kind)}
 
 
-def _final(m: Measure) -> Column:
+def _final(m: Measure, exact: bool) -> Column:
     """The measure from partial rows that are unique per keys and counted columns."""
     p = f"_{m.alias}"
-    if m.kind == "avg":
-        return F.try_divide(F.sum(p).cast("double"), F.sum(f"{p}_n"))
+    if exact or m.kind == "avg":
+        summed = merged(*[F.sum(f"{p}_{part}") for part in EXACT]) if exact else F.sum(p).cast("double")
+        return F.try_divide(summed, F.sum(f"{p}_n")) if m.kind == "avg" else summed
     if m.kind == "distinct":
         return F.count_distinct(F.col(m.value) if m.condition is None else F.when(F.col(p) == 1, F.col(m.value)))
     if m.kind == "mode":
@@ -117,23 +137,31 @@ def _final(m: Measure) -> Column:
 
 def partials(df: DataFrame, keys: list[str], measures: list[Measure]) -> DataFrame:
     """Mergeable partial results of raw rows per key combination."""
-    columns = {name: expr for m in measures for name, (expr, _) in _parts(m).items()}
+    exact = _doubles(df, measures)
+    columns = {name: expr for m in measures for name, (expr, _) in _parts(m, m.alias in exact).items()}
     return _group(df, keys).agg(*[e.alias(n) for n, e in columns.items()] or [F.count(F.lit(1)).alias("_rows")])
 
 
 def combine(parts: DataFrame, keys: list[str], measures: list[Measure]) -> DataFrame:
     """Final measures from partial rows, which may be finer than the keys."""
     inner = _inner_keys(keys, measures)
+    exact = {m.alias for m in measures if f"_{m.alias}_{EXACT[0]}" in parts.columns}
     how = {"sum": F.sum, "max": F.max, "min": F.min}
-    merges = {name: how[kind](name) for m in measures for name, (_, kind) in _parts(m).items()}
+    merges = {name: how[kind](name) for m in measures for name, (_, kind) in _parts(m, m.alias in exact).items()}
     if merges and inner != keys:
         parts = _group(parts, inner).agg(*[e.alias(n) for n, e in merges.items()])
-    return _group(parts, keys).agg(*[_final(m).alias(m.alias) for m in measures])
+    return combine_unique(parts, keys, measures)
 
 
 def rollup(df: DataFrame, keys: list[str], measures: list[Measure]) -> DataFrame:
     """One row per key combination with the measures in the order given."""
     if not _counted(measures):
-        return _group(df, keys).agg(*[_direct(m).alias(m.alias) for m in measures])
-    parts = partials(df, _inner_keys(keys, measures), measures)
-    return _group(parts, keys).agg(*[_final(m).alias(m.alias) for m in measures])
+        exact = _doubles(df, measures)
+        return _group(df, keys).agg(*[_direct(m, m.alias in exact).alias(m.alias) for m in measures])
+    return combine_unique(partials(df, _inner_keys(keys, measures), measures), keys, measures)
+
+
+def combine_unique(parts: DataFrame, keys: list[str], measures: list[Measure]) -> DataFrame:
+    """``combine`` for partial rows already unique per keys and counted columns."""
+    exact = {m.alias for m in measures if f"_{m.alias}_{EXACT[0]}" in parts.columns}
+    return _group(parts, keys).agg(*[_final(m, m.alias in exact).alias(m.alias) for m in measures])

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattlake.functions.bands import grid_health_label, risk_band
+from wattlake.functions.exact import exact_sum
 from wattlake.functions.rounding import round_half_even, round_stable
 from wattlake.operators import gold
 from wattlake.operators.filters import FilterSpec, apply_service_filters, flagged_rows
@@ -65,7 +66,7 @@ def energy_by_hour(df: DataFrame, spec: FilterSpec = ALL) -> DataFrame:
 def energy_totals(df: DataFrame, spec: FilterSpec = ALL) -> DataFrame:
     """Generated and consumed energy of the filtered rows, one digit, 0 when there are none."""
     summed = apply_service_filters(df, spec).agg(
-        F.sum("energy_generated_mwh").alias("g"), F.sum("energy_consumed_mwh").alias("c")
+        exact_sum(F.col("energy_generated_mwh")).alias("g"), exact_sum(F.col("energy_consumed_mwh")).alias("c")
     )
     return summed.select(
         round_stable(F.coalesce("g", F.lit(0.0)), 1).alias("total_generated"),

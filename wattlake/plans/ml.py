@@ -9,15 +9,27 @@ from wattlake.operators.isolation import Forest, ForestParams
 from wattlake.plans.batch import write_layer
 
 
-def detect(spark: SparkSession, silver: DataFrame, forest: Forest, scored_path: str) -> DataFrame:
-    """Score ``silver`` with a fitted forest and label the rows.
+def write_scores(spark: SparkSession, silver: DataFrame, forest: Forest, folder: str) -> DataFrame:
+    """Score ``silver`` once, to ``folder/scored``, and keep the cut and the ends of the scores in ``folder/bounds``.
 
-    The scores are written first: the cut, the score range and the final rows then read
-    one table instead of running the forest three times.  ``silver`` itself is never
-    overwritten, so a rerun gives the same result.
+    Everything after reads these two: the forest walks over each row once, whatever is asked of its
+    scores later.  ``silver`` itself is never overwritten, so a rerun gives the same result.
     """
-    write_layer(isolation.score_rows(silver, forest), scored_path)
-    return isolation.apply_scores(spark.read.parquet(scored_path), forest.params.contamination)
+    write_layer(isolation.score_rows(silver, forest), f"{folder}/scored")
+    scored = spark.read.parquet(f"{folder}/scored")
+    write_layer(isolation.score_bounds(scored, forest.params.contamination).coalesce(1), f"{folder}/bounds")
+    return scored
+
+
+def bounds(spark: SparkSession, folder: str) -> DataFrame:
+    """The one row of cut, least and greatest score written with the scores."""
+    return spark.read.parquet(f"{folder}/bounds")
+
+
+def detect(spark: SparkSession, silver: DataFrame, forest: Forest, folder: str) -> DataFrame:
+    """Score ``silver`` with a fitted forest and label the rows."""
+    scored = write_scores(spark, silver, forest, folder)
+    return isolation.apply_scores(scored, forest.params.contamination, bounds(spark, folder))
 
 
 def run_detection(
@@ -26,5 +38,5 @@ def run_detection(
     """Fit on ``silver``, keep the model under ``folder`` and return the written detections."""
     forest = isolation.fit(silver, params)
     isolation.save(spark, forest, f"{folder}/model")
-    write_layer(detect(spark, silver, forest, f"{folder}/scored"), f"{folder}/detected")
+    write_layer(detect(spark, silver, forest, folder), f"{folder}/detected")
     return spark.read.parquet(f"{folder}/detected")

@@ -22,7 +22,7 @@ from wattlake.llm.text import Hasher, buffers, mix, slices
 from wattlake.llm.tokens import encoder, model_of, released
 
 #: Bytes of text in a block, more only where one text has more.
-BLOCK = 1 << 20
+BLOCK = 1 << 19
 #: Bits of a B id in a pair's code.
 LOW = 24
 

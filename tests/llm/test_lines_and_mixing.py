@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from wattlake.llm.lines import LineRuns, dedup_lines
-from wattlake.llm.mixing import apply_mix, mix_sources, sainte_lague, source_targets
+from wattlake.llm.mixing import apply_mix, mix_sources, sainte_lague, source_targets, split_repeats, word_count
 
 LICENCE = "  Licence \t"
 ROWS = [(i, f"own {i}\n{LICENCE if i % 2 else 'LICENCE'}\n\nlast", "s") for i in range(12)] + [
@@ -115,3 +115,25 @@ def test_kept_digest(documents):
 
     assert {"op6_mixing", "op7_line_dedup"} <= set(QUERIES)
     assert hashlib.sha256(b"").hexdigest() == documents([(1, "")]).select(F.sha2("text", 256)).first()[0]
+
+
+def test_repeated_ids_fill_no_shard(spark):
+    """One id, null too, with a third of all rows: blocks of equal rows, numbered whatever the files' order."""
+    rows = spark.range(9000, numPartitions=7).select(
+        F.when(F.col("id") % 3 == 0, F.lit(5)).when(F.col("id") % 3 == 1, F.lit(None)).otherwise(F.col("id")).cast("long").alias("doc_id"),
+        F.when(F.col("id") % 3 == 0, F.lit("a b")).when(F.col("id") % 2 == 0, F.lit("c")).otherwise(F.lit("d e f")).alias("text"),
+        F.when(F.col("id") % 3 == 1, F.lit(None)).otherwise(F.lit("s")).alias("source"),
+    )
+    sized = rows.select("doc_id", "source", word_count(F.col("text")).alias("size"), F.monotonically_increasing_id().alias("at"))
+    parts = split_repeats(sized, 100).groupBy("doc_id", "source", "size", "part").count().collect()
+    by = collections.defaultdict(list)
+    for r in parts:
+        by[r["doc_id"], r["source"], r["size"]].append((r["part"], r["count"]))
+    assert sorted(by[5, "s", 2]) == [(k, 100) for k in range(30)]
+    assert all(sorted(by[None, None, n]) == [(k, 100) for k in range(15)] for n in (1, 3))
+    assert sum(len(v) == 1 and v[0] == (0, 1) for v in by.values()) == 3000
+    mixed = mix_sources(rows, shard_rows=1000)
+    got = mixed.groupBy("source").agg(F.sum("taken").alias("taken"), F.first("target").alias("target"), F.count("*").alias("n")).collect()
+    assert {r["source"]: r["n"] for r in got} == {"s": 6000, None: 3000}
+    assert all(abs(r["taken"] - r["target"]) <= 16 * 8 for r in got)
+    assert mixed.groupBy("doc_id", "size", "taken").count().exceptAll(mix_sources(rows.repartition(3), shard_rows=1000).groupBy("doc_id", "size", "taken").count()).isEmpty()

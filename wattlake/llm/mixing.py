@@ -20,6 +20,8 @@ WEIGHTS = (1, 2, 3)
 REPEATS = 3
 #: Documents of a shard, about.
 SHARD_ROWS = 16384
+#: Rows equal in source, doc_id and size that stand in one shard.
+SPLIT = 1024
 SEED = 17
 
 
@@ -85,6 +87,27 @@ def sainte_lague(cells: DataFrame, group: list[str], weight: str, seats: str, or
     return bounds.join(won, same, "left").withColumn("quota", F.col("_low") + F.coalesce("_won", F.lit(0))).select(*cells.columns, "quota")
 
 
+def split_repeats(sized: DataFrame, split: int = SPLIT) -> DataFrame:
+    """``sized`` (source, doc_id, size, at and more) with ``part``: which ``split`` of the rows equal in source, doc_id and size a row is in.
+
+    ``at`` holds a number from ``monotonically_increasing_id``, whose upper bits name the task that gave it.  Rows that are equal are
+    counted by hash first; of the few hashes with more than ``split`` rows, each task's rows are numbered for
+    themselves, behind the counts of the tasks before.  So no task sees more of an id than one task of the scan did.
+    """
+    same = ["source", "doc_id", "size"]
+    marked = sized.withColumn("hash", F.xxhash64(*same))
+    often = stored(marked.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > split).select("hash"), "repeats")
+    rare = marked.join(often, "hash", "left_anti").withColumn("part", F.lit(0).cast("long"))
+    repeated = marked.join(often, "hash").withColumn("task", F.shiftright("at", 33))
+    counts = repeated.groupBy("hash", *same, "task").agg(F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(Window.partitionBy("hash", *same).orderBy("task").rowsBetween(Window.unboundedPreceding, -1))
+    before = counts.select(F.struct("hash", *same, "task").alias("_of"), F.coalesce(before, F.lit(0)).alias("_before"))
+    mine = F.row_number().over(Window.partitionBy("hash", *same, "task").orderBy("at")) - 1
+    numbered = repeated.withColumn("_mine", mine).withColumn("_is", F.struct("hash", *same, "task"))
+    numbered = numbered.join(before, F.col("_is").eqNullSafe(F.col("_of"))).withColumn("part", F.floor((F.col("_before") + F.col("_mine")) / split))
+    return rare.select(*sized.columns, "part").unionByName(numbered.select(*sized.columns, "part"))
+
+
 def mix_sources(
     documents: DataFrame,
     weights: tuple[int, ...] = WEIGHTS,
@@ -99,13 +122,14 @@ def mix_sources(
     ``size`` is the number of words (null or empty text: 0), ``taken`` the words the mix takes of this
     row, whole rounds and a first part; it is at most ``repeats`` times ``size``.  A source's taken
     words differ from its target by less than a block, plus a block for each shard whose cap cuts
-    its quota.  Null is a source of its own.  Repeated rows are documents of their own; they stand next to each
-    other in the seeded order.  Other columns of ``documents`` are not looked at.  An empty table
-    gives no rows.
+    its quota.  Null is a source of its own.  Repeated rows are documents of their own; those of one size stand
+    next to each other in the seeded order, ``SPLIT`` of them at most, and the next ones elsewhere, so that no doc_id,
+    null included, fills a shard.  Other columns of ``documents`` are not looked at.  An empty table gives no rows.
     """
-    key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+    key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("size"), F.col("part")))
     carried = [F.col(row).alias("row")] if row else []
-    sized = stored(documents.select("doc_id", "source", word_count(F.col("text")).alias("size"), key.alias("key"), *carried), "sizes")
+    sized = documents.select("doc_id", "source", word_count(F.col("text")).alias("size"), F.monotonically_increasing_id().alias("at"), *carried)
+    sized = stored(split_repeats(stored(sized, "sizes")).withColumn("key", key).drop("at", "part"), "keyed-sizes")
     sources = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_docs"))
     targets = source_targets(sources, weights, repeats)
     total = F.sum("source_size").over(Window.partitionBy("all"))
@@ -157,10 +181,13 @@ def apply_mix(documents: DataFrame, **parameters) -> DataFrame:
 
 
 SQL = f"""
-WITH sized AS (
-  SELECT doc_id, source, md5('{SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS key,
-         CAST(coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS BIGINT) AS size
+WITH counted AS (
+  SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS BIGINT) AS size
   FROM documents),
+sized AS (
+  SELECT doc_id, source, size,
+         md5('{SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || size || ':' || (row_number() OVER (PARTITION BY source, doc_id, size) - 1) // {SPLIT}) AS key
+  FROM counted),
 sources AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, count(*) AS n_docs FROM sized GROUP BY source),
 ranked AS (
   SELECT *, [1, 2, 3][1 + rank % 3] AS weight, source_size * {REPEATS} AS cap

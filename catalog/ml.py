@@ -16,13 +16,13 @@ _RUNS: dict[tuple[str, str], str] = {}
 
 
 def detected(spark, sf_dir):
-    """Detections of the fitted forest, computed once per application and read by every query."""
+    """Detections of the fitted forest, scored once per application and labelled as a query reads them."""
     folder = work(spark, sf_dir, "forest")
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _RUNS:
-        ml.run_detection(spark, silver(spark, sf_dir), folder)
+        ml.fit_and_detect(spark, silver(spark, sf_dir), folder)
         _RUNS[key] = folder
-    return spark.read.parquet(f"{folder}/detected")
+    return ml.detections(spark, folder)
 
 
 register("ml1_feature_matrix", on_silver(

@@ -28,15 +28,27 @@ def bounds(spark: SparkSession, folder: str) -> DataFrame:
 
 def detect(spark: SparkSession, silver: DataFrame, forest: Forest, folder: str) -> DataFrame:
     """Score ``silver`` with a fitted forest and label the rows."""
-    scored = write_scores(spark, silver, forest, folder)
-    return isolation.apply_scores(scored, forest.params.contamination, bounds(spark, folder))
+    write_scores(spark, silver, forest, folder)
+    return detections(spark, folder, forest.params)
 
 
-def run_detection(
+def detections(spark: SparkSession, folder: str, params: ForestParams = ForestParams()) -> DataFrame:
+    """The labelled rows of written scores; a query computes only the labels it reads."""
+    return isolation.apply_scores(spark.read.parquet(f"{folder}/scored"), params.contamination, bounds(spark, folder))
+
+
+def fit_and_detect(
     spark: SparkSession, silver: DataFrame, folder: str, params: ForestParams = ForestParams()
 ) -> DataFrame:
-    """Fit on ``silver``, keep the model under ``folder`` and return the written detections."""
+    """Fit on ``silver``, keep model and scores under ``folder`` and return the detections, which are not written again."""
     forest = isolation.fit(silver, params)
     isolation.save(spark, forest, f"{folder}/model")
-    write_layer(detect(spark, silver, forest, folder), f"{folder}/detected")
+    return detect(spark, silver, forest, folder)
+
+
+def run_detection(
+    spark: SparkSession, silver: DataFrame, folder: str, params: ForestParams = ForestParams()
+) -> DataFrame:
+    """Fit on ``silver``, keep the model under ``folder`` and return the written detections."""
+    write_layer(fit_and_detect(spark, silver, folder, params), f"{folder}/detected")
     return spark.read.parquet(f"{folder}/detected")

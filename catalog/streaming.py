@@ -22,7 +22,7 @@ def events_dir(spark, sf_dir):
     if key not in _DONE:
         text = F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss")
         events = raw(spark, sf_dir).withColumns({"timestamp": text, "risk_score": F.lit(0)}).select(*STREAM_COLUMNS)
-        events.write.mode("overwrite").json(path)
+        events.write.mode("overwrite").option("compression", "gzip").json(path)
         _DONE.add(key)
     return path
 
@@ -69,7 +69,7 @@ def _(spark, sf_dir):
     line = F.to_json(F.struct(*[c for c in STREAM_COLUMNS if c != "timestamp"]))
     cut = F.when(F.col("outage_duration_min") > 0, F.substring(line, 1, 60)).otherwise(line)
     if (spark.sparkContext.applicationId, folder) not in _DONE:
-        events.select(cut.alias("value")).write.mode("overwrite").text(f"{folder}/events")
+        events.select(cut.alias("value")).write.mode("overwrite").option("compression", "gzip").text(f"{folder}/events")
         _DONE.add((spark.sparkContext.applicationId, folder))
     good = ingest.drain(spark, f"{folder}/events", f"{folder}/sink", f"{folder}/checkpoint")
     ingest.quarantine(spark, f"{folder}/events", f"{folder}/bad", f"{folder}/bad_checkpoint", None).awaitTermination()

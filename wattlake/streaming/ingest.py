@@ -110,6 +110,7 @@ def write_stream(
 ) -> StreamingQuery:
     """Append to files; ``interval=None`` takes all files now present and stops."""
     writer = df.writeStream.format(fmt).option("path", path).option("checkpointLocation", checkpoint).outputMode("append")
+    writer = writer.option("compression", "zstd" if fmt == "parquet" else "gzip")
     trigger = {"availableNow": True} if interval is None else {"processingTime": interval}
     return writer.trigger(**trigger).start()
 

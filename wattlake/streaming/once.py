@@ -52,7 +52,7 @@ def write_batch(batch: DataFrame, batch_id: int, folder: str) -> None:
     """All sinks of one micro-batch."""
     kept = batch.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        enrich(readable(kept)).write.mode("overwrite").parquet(f"{folder}/events/batch_id={batch_id}")
+        enrich(readable(kept)).write.mode("overwrite").parquet(f"{folder}/events/batch_id={batch_id}", compression="zstd")
         unreadable(kept).write.mode("overwrite").json(f"{folder}/quarantine/batch_id={batch_id}")
         publish(add_totals(batch.sparkSession, kept, f"{folder}/totals", batch_id), f"{folder}/totals", batch_id)
     finally:

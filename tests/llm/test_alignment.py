@@ -105,3 +105,20 @@ def test_query(spark, tokens, tmp_path):
     spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
     want = {(*row[:-1], SHA(row[-1]) if row[1] else "") for row in plain(rows, tokens)[0]}
     assert {tuple(r) for r in alignment.op11_alignment(spark, str(tmp_path)).collect()} == want
+
+
+def test_texts_come_to_the_workers_in_small_batches(spark, documents, monkeypatch):
+    key, seen = "spark.sql.execution.arrow.maxBytesPerBatch", {}
+    before, stored = spark.conf.get(key), alignment.stored
+
+    def noted(df, name, *by):
+        seen[name] = spark.conf.get(key)
+        if name == "alignment-blocks":
+            largest = documents([(i, "a word " * 40000) for i in range(30)]).coalesce(1).mapInArrow(
+                lambda batches: (type(b).from_pydict({"bytes": [b.nbytes]}) for b in batches), "bytes long").agg({"bytes": "max"}).first()[0]
+            assert largest < 6 << 20
+        return stored(df, name, *by)
+
+    monkeypatch.setattr(alignment, "stored", noted)
+    align(documents([(1, "some text")]), A, B)
+    assert seen["alignment-blocks"] != before and spark.conf.get(key) == before

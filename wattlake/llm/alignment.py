@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattlake.llm.packing import tokenizer_path
-from wattlake.llm.shared import register, stored, table
+from wattlake.llm.shared import register, small_batches, stored, table
 from wattlake.llm.text import Hasher, buffers, mix, slices
 from wattlake.llm.tokens import encoder, model_of, released
 
@@ -242,7 +242,8 @@ def align(documents: DataFrame, tokenizer_a: str, tokenizer_b: str) -> tuple[Dat
     for itself.  Special tokens' strings are plain text.  Other columns are not looked at.  An empty table gives no
     rows.  Windows are told apart by a 64-bit hash of their ids.
     """
-    blocks = stored(_blocks(documents, tokenizer_a, tokenizer_b), "alignment-blocks")
+    with small_batches(documents.sparkSession):
+        blocks = stored(_blocks(documents, tokenizer_a, tokenizer_b), "alignment-blocks")
     pairs = blocks.select("block", F.posexplode(F.arrays_zip("code", "n"))).select("block", "pos", "col.code", "col.n")
     counts = stored(pairs.groupBy("code").agg(F.sum("n").alias("count")), "alignment-counts")
     low = F.col("code").bitwiseAND(F.lit((1 << LOW) - 1))

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,6 +46,23 @@ def stored(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Bytes of the Arrow batches that texts travel in where their workers hold much besides.
+BATCH_BYTES = "2m"
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Python tasks of the jobs run inside get their rows in batches of ``BATCH_BYTES``: executor and worker hold a copy of
+    each, and buffers that grow to it double."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, BATCH_BYTES)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def free_name(columns: list[str], name: str) -> str:
     """``name``, with as many underscores before it as no column of ``columns`` has."""
     taken = {c.lower() for c in columns}

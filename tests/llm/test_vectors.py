@@ -5,6 +5,7 @@ import math
 import numpy as np
 import pytest
 
+from wattlake.llm import embeddings
 from wattlake.llm.embeddings import near_duplicate_vectors
 from wattlake.llm.topk import search_blocks, top_k
 
@@ -115,3 +116,37 @@ def test_top_k_of_large_components(spark):
     assert best(rows, 0) == [(i, s) for s, i in want]
     with pytest.raises(Exception, match="beyond 64 bits"):
         best([(0, [1e18]), (1, [1e18])], 0)
+
+
+def test_rows_sent_grow_as_the_vectors_do(spark, monkeypatch):
+    """A chunk is a share of all vectors: four times as many send about four times the rows to tasks, not sixteen times."""
+    monkeypatch.setattr(embeddings, "LEAST_CHUNK", 8)
+    joined, sent = embeddings._joined, []
+
+    def counted(tasks, *rest):
+        sent.append(tasks.count())
+        return joined(tasks, *rest)
+
+    monkeypatch.setattr(embeddings, "_joined", counted)
+    rng = np.random.default_rng(11)
+    rows = [(i, [float(x) for x in np.float32(v)]) for i, v in enumerate(rng.standard_normal((1600, 16)))]
+    for n in (400, 1600):
+        got = near_duplicate_vectors(frame(spark, rows[:n])).select("vec_id", "n_links").collect()
+        unit = np.array([v for _, v in rows[:n]])
+        unit /= np.sqrt((unit * unit).sum(1))[:, None]
+        assert dict(map(tuple, got)) == dict(enumerate(((unit @ unit.T >= 0.95).sum(1) - 1).tolist()))
+    assert sent[1] < 5 * sent[0]
+
+
+def test_near_copies_in_chunks_are_counted_and_united(spark):
+    """A third of all vectors within one range of each other, in many chunks of the same cell."""
+    rng = np.random.default_rng(12)
+    x = rng.standard_normal((300, 32))
+    x[::3] = x[0] + 0.1 * rng.standard_normal((100, 32))
+    rows = [(i, [float(c) for c in np.float32(v)]) for i, v in enumerate(x)]
+    unit = np.array([v for _, v in rows])
+    unit /= np.sqrt((unit * unit).sum(1))[:, None]
+    want = (unit @ unit.T >= 0.95).sum(1) - 1
+    got = near_duplicate_vectors(frame(spark, rows), chunk=9).orderBy("vec_id").collect()
+    assert [r["n_links"] for r in got] == want.tolist() and want.sum() > 5000
+    assert [r["component_id"] for r in got] == [0 if i % 3 == 0 else i for i in range(300)]

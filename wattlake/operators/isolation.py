@@ -2,7 +2,8 @@
 
 Sampling and growing handle a number of rows fixed by the model (trees times rows per
 tree), whatever the size of the data.  Scoring is one pass over the data in which only
-the feature columns cross to Python, batch by batch.
+the feature columns cross to Python, batch by batch; where a row ends in a tree is looked up by the ranks of its
+features among the thresholds, a few steps for each feature instead of some for each level.
 """
 
 from __future__ import annotations
@@ -179,31 +180,127 @@ def load(spark: SparkSession, path: str) -> Forest:
 
 # --- score ------------------------------------------------------------------------------------
 
+#: Leaves of the trees that are looked up by bits; larger ones are walked.  Thresholds that share a code table.
+BIT_LEAVES, BLOCK_THRESHOLDS = 256, 1 << 14
+
+
+def ruled_out(feature: np.ndarray, threshold: np.ndarray, left: np.ndarray, right: np.ndarray, path: np.ndarray) -> tuple[dict, list]:
+    """A tree whose leaves, left to right, are bits: ({feature: (thresholds, leaves left by rank)}, paths), in words of 64.
+
+    A row that is above a node's threshold can't end in the leaves left of it; of the leaves that no node rules out the
+    row ends in the leftmost.  The thresholds of one feature that a row is above are those up to some rank, so
+    what they rule out together is looked up by that rank.
+    """
+    leaves, spans, waiting = [], {}, [(0, False)]
+    while waiting:
+        node, left_done = waiting.pop()
+        if feature[node] < 0:
+            leaves.append(node)
+        elif left_done:
+            spans[node] = (spans[node], len(leaves))
+            waiting.append((right[node], False))
+        else:
+            spans[node] = len(leaves)
+            waiting += [(node, True), (left[node], False)]
+    bit, words = np.arange(len(leaves)), -(-len(leaves) // 64)
+    ranked = {}
+    for f in sorted({int(feature[n]) for n in spans}):
+        own = sorted((n for n in spans if feature[n] == f), key=lambda n: threshold[n])
+        kept = np.ones((len(own) + 1, 64 * words), bool)
+        for rank, n in enumerate(own, 1):
+            kept[rank, : len(bit)] = kept[rank - 1, : len(bit)] & ((bit < spans[n][0]) | (bit >= spans[n][1]))
+        ranked[f] = threshold[own], np.packbits(kept, axis=1, bitorder="little").view("<u8")
+    return ranked, [path[leaves[64 * w : 64 * w + 64]] for w in range(words)]
+
+
+def _by_bits(trees: list[tuple[dict, list]]):
+    """Function from rows to the path lengths of each tree in turn."""
+    features = sorted({f for ranked, _ in trees for f in ranked})
+    known = {f: np.unique(np.concatenate([ranked[f][0] for ranked, _ in trees if f in ranked])) for f in features}
+    tables = []
+    for ranked, ends in trees:
+        # leaves left by the rank among all of the block's thresholds, for each word of bits and each feature
+        at = {f: np.append(0, np.searchsorted(own, known[f], side="right")) for f, (own, _) in ranked.items()}
+        tables.append([([(f, masks[:, w].take(at[f])) for f, (_, masks) in ranked.items()], path) for w, path in enumerate(ends)])
+
+    def paths(x: np.ndarray) -> Iterator[np.ndarray]:
+        codes = {f: np.searchsorted(known[f], x[:, f]) for f in features}
+        left, more = np.empty(len(x), np.uint64), np.empty(len(x), np.uint64)
+        for words in tables:
+            out = None
+            for masks, path in reversed(words):
+                if not masks:
+                    out = np.full(len(x), path[0])
+                    continue
+                masks[0][1].take(codes[masks[0][0]], out=left, mode="clip")
+                for f, mask in masks[1:]:
+                    np.bitwise_and(left, mask.take(codes[f], out=more, mode="clip"), out=left)
+                # the exponent of the lowest bit as a double is its place; no bit at all comes to the first path
+                place = (np.bitwise_and(left, np.negative(left, out=more), out=more).astype(np.float64).view(np.int64) >> 52) - 1023
+                found = path.take(place, mode="clip")
+                out = found if out is None else np.where(left != 0, found, out)
+            yield out
+
+    return paths
+
+
+def _by_walk(feature: np.ndarray, threshold: np.ndarray, left: np.ndarray, right: np.ndarray, path: np.ndarray):
+    """Function from rows to the path lengths of one tree, level by level."""
+
+    def paths(x: np.ndarray) -> Iterator[np.ndarray]:
+        row, at = np.arange(len(x)), np.zeros(len(x), dtype=np.int32)
+        while True:
+            f = feature[at]
+            inner = f >= 0
+            if not inner.any():
+                break
+            step = np.where(x[row, np.maximum(f, 0)] <= threshold[at], left[at], right[at])
+            at = np.where(inner, step, at)
+        yield path[at]
+
+    return paths
+
+
+def looked_up(tree: tuple[np.ndarray, ...]) -> tuple:
+    """A tree as ``ruled_out`` has it, if it is small enough, or else as it is."""
+    return ruled_out(*tree) if (tree[0] < 0).sum() <= BIT_LEAVES else tree
+
+
+def path_lengths(trees: list[tuple]) -> list:
+    """Functions that give, one after another, the path lengths of all trees of ``looked_up`` in their order."""
+    parts, block, held = [], [], 0
+    for tree in trees:
+        small = len(tree) == 2
+        inner = sum(len(own) for own, _ in tree[0].values()) if small else 0
+        if block and (not small or held + inner > BLOCK_THRESHOLDS):
+            parts.append(_by_bits(block))
+            block, held = [], 0
+        if small:
+            block.append(tree)
+            held += inner
+        else:
+            parts.append(_by_walk(*tree))
+    return parts + ([_by_bits(block)] if block else [])
+
+
 def _scorer(spark: SparkSession, forest: Forest):
     """Arrow function from scaled features to 2^(-mean path / expected path)."""
     trees = []
     for _, t in forest.nodes.groupby("tree", sort=True):
         t = t.sort_values("node")
-        trees.append(tuple(t[c].to_numpy() for c in ("feature", "threshold", "left", "right", "path")))
+        trees.append(looked_up(tuple(t[c].to_numpy() for c in ("feature", "threshold", "left", "right", "path"))))
     shared = spark.sparkContext.broadcast(trees)
     expected = average_path(forest.sample_size) or 1.0
 
     @F.pandas_udf("double")
     def score(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+        parts = path_lengths(shared.value)
         for columns in batches:
             x = np.column_stack([c.to_numpy(dtype=float) for c in columns])
-            row = np.arange(len(x))
             depth = np.zeros(len(x))
-            for feature, threshold, left, right, path in shared.value:
-                at = np.zeros(len(x), dtype=np.int32)
-                while True:
-                    f = feature[at]
-                    inner = f >= 0
-                    if not inner.any():
-                        break
-                    step = np.where(x[row, np.maximum(f, 0)] <= threshold[at], left[at], right[at])
-                    at = np.where(inner, step, at)
-                depth += path[at]
+            for part in parts:
+                for path in part(x):
+                    depth += path
             yield pd.Series(np.exp2(-depth / (len(shared.value) * expected)))
 
     return score

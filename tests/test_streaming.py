@@ -68,3 +68,31 @@ def test_freshness_and_heartbeat(spark, frame, tmp_path):
         path = tmp_path / f"{status}{online}{at is None}.json"
         path.write_text(json.dumps({"last_update": at, "events_generated": 3, "anomalies_detected": 1, "status": status}))
         assert ingest.read_heartbeat(spark, str(path), now).first()["online"] is online
+
+
+def test_lines_of_a_packed_file_are_dealt_out_each_once(spark, frame, tmp_path):
+    """One gzip file in a micro-batch, with equal and unreadable lines: all sinks have each line once, from more tasks than files, also after a
+    restart with another number of files."""
+    rows = [reading(i) for i in range(60)] + [reading(7)] * 3
+    df = frame(rows).withColumn("timestamp", F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss")).select(*STREAM_COLUMNS)
+    lines = df.toJSON().collect() + ['{"event_id": "EVT-9', "  ", "{}"]
+    one = spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1)
+    one.write.option("compression", "gzip").text(f"{tmp_path}/in")
+    out = ingest.drain(spark, f"{tmp_path}/in", f"{tmp_path}/sink", f"{tmp_path}/check", max_files=2)
+    ids = sorted(r["event_id"] or "" for r in out.select("event_id").collect())
+    assert ids == sorted([f"EVT-{i:06d}" for i in range(60)] + ["EVT-000007"] * 3 + [""])
+    assert out.select(F.input_file_name()).distinct().count() > 1
+    one.limit(5).coalesce(1).write.mode("append").option("compression", "gzip").text(f"{tmp_path}/in")
+    assert ingest.drain(spark, f"{tmp_path}/in", f"{tmp_path}/sink", f"{tmp_path}/check", max_files=20).count() == 69
+    ingest.quarantine(spark, f"{tmp_path}/in", f"{tmp_path}/bad", f"{tmp_path}/bad_check", None, max_files=1).awaitTermination()
+    assert [r["line"] for r in spark.read.schema("line string").json(f"{tmp_path}/bad").collect()] == ['{"event_id": "EVT-9']
+    ingest.run_totals(spark, f"{tmp_path}/in", f"{tmp_path}/t", f"{tmp_path}/c", None, max_files=3).awaitTermination()
+    totals = spark.read.parquet(f"{tmp_path}/t").first()
+    assert (totals["received"], totals["processed"]) == (70, 69)
+
+
+def test_a_line_is_parsed_once(spark, tmp_path):
+    (tmp_path / "a.jsonl").write_text('{"event_id": "EVT-1"}\n')
+    events = ingest.parse_lines(spark.read.text(str(tmp_path)))
+    for df in (ingest.enrich(ingest.readable(events)), ingest.unreadable(events)):
+        assert df._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
